@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, radix_dedup, sharding
+from . import byte_bpe, chat, lm_score, ngram_join, ordinal, packing, radix_dedup, secrets, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    model = lm_score.train(docs.where(~held_out))
+    return lm_score.score(docs, model, held_out)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    weights, cuts = ordinal.train(docs, labels.select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
+    out = ordinal.rate(docs, weights, cuts)
+    return out.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= 0.5).alias("kept"))
+
+
 def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -22,6 +38,16 @@ def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return byte_bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return secrets.digests(secrets.judge(docs, F.concat_ws("/", "source", "lang"), F.col("source")), "doc_id")
+
+
 def op6_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(radix_dedup.normalised(F.col("text")).cast("binary"), 256))
@@ -47,11 +73,23 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {
-    "op3_jump_sharding": op3_jump_sharding,
-    "op6_radix_dedup": op6_radix_dedup,
-    "op7_chat_format": op7_chat_format,
-}
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = ngram_join.numbered(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ngram_join.components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_score, op2_quality, op3_jump_sharding, op4_byte_bpe, op5_secret_scan, op6_radix_dedup, op7_chat_format, op8_topk_search, op9_packing, op10_ngram_join)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -61,6 +99,13 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM n""",
+    "op8_topk_search": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 10""",
     "op7_chat_format": r"""
         WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
