@@ -38,7 +38,8 @@ def _next_groups(rows: DataFrame, name: str) -> DataFrame:
 
 def _level(rows: DataFrame, groups: DataFrame) -> DataFrame:
     g = groups.select(F.col("_group").alias("_g"), F.col("_chunk").alias("_c"), "_size", "_least", "_next")
-    return rows.join(g, (rows["_group"] == g["_g"]) & (rows["_chunk"] == g["_c"]), "left").drop("_g", "_c", "_group", "_chunk")
+    # One plan at every size: the groups are never broadcast, however few they are.
+    return rows.join(g.hint("merge"), (rows["_group"] == g["_g"]) & (rows["_chunk"] == g["_c"]), "left").drop("_g", "_c", "_group", "_chunk")
 
 
 def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", first: int = 64, growth: int = 8, drop_text: bool = False) -> DataFrame:
