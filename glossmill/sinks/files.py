@@ -27,6 +27,7 @@ def write_report(stats: dict, missing: DataFrame, folder: str) -> None:
 
 def _atomic(path: str, data: bytes) -> None:
     """Write under another name first, so that a repeated or parallel attempt never leaves half a file."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     handle, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
     with os.fdopen(handle, "wb") as f:
         f.write(data)

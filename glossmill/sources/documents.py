@@ -48,7 +48,7 @@ def wlasl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = VIDEO_SUFFIXES) -> DataFrame:
-    """(rel_path, stem) of files below a folder. Only names are read, no contents."""
+    """(rel_path, stem) of files below a folder. Only names are read, no contents. Spark leaves out files of no length."""
     pattern = "*.{" + ",".join(suffixes) + "}"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path")
     base = F.lit(folder.rstrip("/").removeprefix("file://").removeprefix("file:") + "/")
