@@ -30,22 +30,17 @@ def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
     return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
 
 
-def words(text: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words, the codes of all words in order, and the words of each text. Words are runs without ASCII white space; A-Z are lowered."""
-    if lower:
-        text = pc.ascii_lower(text)
-    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(text))
-    flat = parts.flatten()
-    counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    empty = pc.equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    if empty.any():
-        owner = np.repeat(np.arange(len(counts)), counts)
-        counts = np.bincount(owner[~empty], minlength=len(counts)).astype(np.int64)
-        flat = flat.filter(pa.array(~empty))
-    coded = flat.dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
+def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words in UTF-8, the codes of all words in order, and the words of each text. Words are runs without ASCII
+    white space, which is what bytes.split parts at; A-Z are lowered, which is what bytes.lower does."""
+    known: dict[bytes, int] = {}
+    number, codes, counts = known.setdefault, [], []
+    for t in text.to_pylist():
+        raw = t.encode()
+        found = (raw.lower() if lower else raw).split()
+        codes.append(np.array([number(w, len(known)) for w in found], np.int64))
+        counts.append(len(found))
+    return list(known), np.concatenate(codes) if codes else np.zeros(0, np.int64), np.array(counts, np.int64)
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -62,13 +57,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(dictionary: pa.Array) -> np.ndarray:
+def word_hashes(dictionary: list[bytes]) -> np.ndarray:
     """A 64-bit hash of every word, the same on every machine."""
     from pandas.util import hash_array
 
-    if not len(dictionary):
+    if not dictionary:
         return np.zeros(0, np.uint64)
-    return mix(hash_array(np.asarray(dictionary.to_pylist(), dtype=object), categorize=False))
+    return mix(hash_array(np.array(dictionary, dtype=object), categorize=False))
 
 
 def extend(left: np.ndarray, right: np.ndarray) -> np.ndarray:

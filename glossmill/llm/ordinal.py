@@ -40,7 +40,7 @@ def features(text: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     pairs = np.unique(owner * np.int64(max(1, len(dictionary))) + codes)
     owner, codes = pairs // max(1, len(dictionary)), pairs % max(1, len(dictionary))
-    names = dictionary.to_pylist()
+    names = [w.decode() for w in dictionary]
     core = [w.strip(_MARKS) for w in names]
     tail = [w[len(w.rstrip(_MARKS)) :] for w in names]
     mask = np.uint64((1 << bits) - 1)

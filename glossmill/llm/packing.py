@@ -48,7 +48,7 @@ class WordEncoder:
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text closed by end_id; the number of ids of each text."""
         dictionary, codes, counts = arrowtext.words(text, lower=False)
-        names = dictionary.to_pylist()
+        names = [w.decode() for w in dictionary]
         if len(self.memo) + len(names) > MEMO:
             self.memo.clear()
         new = [w for w in names if w not in self.memo]
