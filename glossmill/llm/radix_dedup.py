@@ -9,7 +9,8 @@ which is fixed by writing that small table; a left join brings it to the rows. C
 is a plain one whose large partitions Spark splits, so a hot chunk isn't one task, and it streams rows, it collects none.
 
 Defined cases: a null text counts as empty; of rows with equal text the smallest doc_id stays, a null doc_id only if all
-are null; of repeated rows with that doc_id exactly one stays; extra columns are kept; an empty table gives an empty one.
+are null; of repeated rows with that doc_id exactly one stays; extra columns are kept, those called like a result are replaced
+by it (``drop_copies`` keeps them all); an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -47,9 +48,12 @@ def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", first: i
 
     The number of levels grows with the logarithm of the longest text that has a copy: 64 bytes, then 512, 4 KB, ...
     """
-    for name in RESULTS:
-        if name in df.columns:
-            raise ValueError(f"the input already has a column {name}")
+    plain, names = scratch.shielded(df)
+    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", first, growth, drop_text)
+    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in RESULTS), *RESULTS)
+
+
+def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_text: bool) -> DataFrame:
     norm = normalised(F.col(text))
     carried = df.columns
     rows = df.withColumn("_id", F.col(key)).withColumn("_uid", F.lit(0).cast("long"))
@@ -81,4 +85,6 @@ def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", first: i
 
 def drop_copies(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of df that stay, with df's columns."""
-    return exact_dedup(df, text, key).where("kept").select(*df.columns)
+    plain, names = scratch.shielded(df)
+    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", 64, 8, False)
+    return out.where("kept").select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

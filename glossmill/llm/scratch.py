@@ -29,6 +29,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """df with its columns called c0, c1, ..., so that no name of theirs meets one of an operator's; and their own names."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))), df.columns
+
+
 def release_finished_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of jobs whose result is already in a table."""
     import gc

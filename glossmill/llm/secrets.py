@@ -10,7 +10,7 @@ that no hot value is one task.
 
 Defined cases: a null text is empty and has no span; a null repository or owner counts as a repository or owner of its
 own; repeated rows are rows of their own; texts are read whole; an empty table gives an empty table; extra columns are
-kept by ``mask_live`` and ignored elsewhere.
+kept, in ``judge`` but for those called like a result.
 """
 
 from __future__ import annotations
@@ -102,9 +102,12 @@ def judge(df: DataFrame, repository: Column, owner: Column, text: str = "text",
 
     Rows get a number of their own before the corpus is counted, so that no column needs to be unique.
     """
-    rows = scan(df, text).withColumn("_row", F.monotonically_increasing_id())
+    named = df.withColumns({"_repository": repository.cast("string"), "_owner": owner.cast("string")})
+    named = named.drop(*(c for c in df.columns if c in ("found", "live", "_row", "most_owners", "most_repositories")))
+    rows = scan(named, text).withColumn("_row", F.monotonically_increasing_id())
     rows = scratch.materialise(rows, "secrets")
-    counts = scratch.materialise(ownership(rows, repository, owner), "owners")
+    counts = scratch.materialise(ownership(rows, F.col("_repository"), F.col("_owner")), "owners")
+    rows = rows.drop("_repository", "_owner")
     candidates = rows.select("_row", F.posexplode("found").alias("at", "span")).select("_row", "at", F.col("span.value").alias("value"))
     known = _with_counts(candidates, counts)
     of_row = known.groupBy("_row").agg(
@@ -151,11 +154,14 @@ def mask_live(df: DataFrame, repository: Column, owner: Column, text: str = "tex
     The set of owner-specific values is joined to the texts' spans, not to the texts: the rows are written once with
     their spans and read back for masking.
     """
-    numbered = scratch.materialise(df.withColumn("_row", F.monotonically_increasing_id()), "masking")
-    judged = judge(numbered.withColumnRenamed("_row", "_key"), repository, owner, text, owners)
+    plain, names = scratch.shielded(df.withColumns({"_repository": repository, "_owner": owner}))
+    names, text = names[:-2], f"c{names.index(text)}"
+    numbered = scratch.materialise(plain.withColumn("_key", F.monotonically_increasing_id()), "masking")
+    own = [F.col(f"c{len(names) + i}") for i in (0, 1)]
+    judged = judge(numbered.select("_key", text, *own), *own, text, owners)
     live = judged.where(F.size("live") > 0).select(F.col("_key").alias("_r"), F.transform("live", lambda i: F.get("found", i)).alias("_spans"))
-    joined = numbered.join(live, numbered["_row"] == live["_r"], "left").drop("_row", "_r")
-    columns = df.columns
+    joined = numbered.join(live, numbered["_key"] == live["_r"], "left")
+    columns = [f"c{n}" for n in range(len(names))]
     i = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,4 +173,5 @@ def mask_live(df: DataFrame, repository: Column, owner: Column, text: str = "tex
                 texts = pa.array(fixed, texts.type)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns[:i]), texts, *(batch.column(c) for c in columns[i + 1 :])], columns)
 
-    return joined.select(*columns, "_spans").mapInArrow(run, df.schema)
+    schema = numbered.select(*columns).schema
+    return joined.select(*columns, "_spans").mapInArrow(run, schema).toDF(*names)

@@ -4,7 +4,7 @@ The shard of a row follows from its key and the number of shards alone: there is
 shard, a row stays or moves into the new shard. Everything is a Spark expression.
 
 Defined cases: a null key counts as key 0; rows that share a key share a shard; an empty table gives an empty table;
-columns of the input that are not named are kept by ``assign_shards``; a column called like a result is refused.
+other columns of the input are kept by ``assign_shards``, and one called like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -57,11 +57,10 @@ def jump_hash(key: Column, n_shards: int) -> Column:
 
 def assign_shards(df: DataFrame, key: str, n_shards: int, shard: str = "shard", grown: str | None = None) -> DataFrame:
     """df with its shard and, under the name ``grown``, the shard if there were one more."""
-    for name in (shard, grown):
-        if name in df.columns:
-            raise ValueError(f"the input already has a column {name}")
-    out = df.withColumn(shard, jump_hash(F.col(key), n_shards))
-    return out if grown is None else out.withColumn(grown, jump_hash(F.col(key), n_shards + 1))
+    results = {shard: jump_hash(F.col(key), n_shards)}
+    if grown is not None:
+        results[grown] = jump_hash(F.col(key), n_shards + 1)
+    return df.withColumns(results)
 
 
 def number_slots(df: DataFrame, shard: str, cells: int = 256, slot: str = "slot") -> DataFrame:
