@@ -4,13 +4,15 @@ Grades: 0 toxic, 1 of low quality, 2 fine. One weight for each hashed text featu
 thresholds part them: P(grade <= k) = sigmoid(threshold_k - score). That gives the expected grade and the tail
 probability P(grade >= 2), on which selection rests.
 
-Features are the distinct words of the whole text without the punctuation around them, and the distinct runs of
-punctuation at their ends. The model is fitted on at most ``MAX_RATED`` rated texts, chosen by a hash of their key, in one
+Features are the distinct words of the whole text without the punctuation around them, the distinct runs of punctuation at
+their ends, and in tenths the shares of words that repeat the one before and of words with such runs. Only features whose
+grades differ from the sample's more than chance explains (likelihood ratio) get a weight; without that, rare words would
+be learnt by heart. The model is fitted on at most ``MAX_RATED`` rated texts, chosen by a hash of their key, in one
 task; it has a fixed size and is sent to all tasks.
 
 Defined cases: a null text is empty and gets the thresholds' own probabilities; rated keys without a text, and texts
 without a rating, are no trouble; a key rated twice counts twice; with no ratings at all every document is kept; repeated
-rows get equal results; an empty table gives an empty table; extra columns are kept by ``select_good``.
+rows get equal results; an empty table gives an empty table; extra columns are kept by ``select_good``, and by ``rate`` but for those called like a result.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ def features(text: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) of all distinct features, by text."""
     from pandas.util import hash_array
 
-    dictionary, codes, counts = arrowtext.words(text)
+    dictionary, all_codes, counts = arrowtext.words(text)
+    codes = all_codes
     owner = np.repeat(np.arange(len(counts)), counts)
     pairs = np.unique(owner * np.int64(max(1, len(dictionary))) + codes)
     owner, codes = pairs // max(1, len(dictionary)), pairs % max(1, len(dictionary))
@@ -44,10 +47,19 @@ def features(text: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     core = [w.strip(_MARKS) for w in names]
     tail = [w[len(w.rstrip(_MARKS)) :] for w in names]
     mask = np.uint64((1 << bits) - 1)
+    marked = np.array([len(x) > 1 or not y for x, y in zip(tail, core)], bool)
+    of = np.repeat(np.arange(len(counts)), counts)
+    again = np.zeros(len(all_codes), bool)
+    again[1:] = (all_codes[1:] == all_codes[:-1]) & (of[1:] == of[:-1])
+    filled = np.flatnonzero(counts)
+    shares = [(tag, 10 * np.bincount(of, weights=x, minlength=len(counts))[filled] // counts[filled]) for tag, x in (("a", again), ("m", marked[all_codes] if len(names) else again))]
     hashed = lambda x, tag: (hash_array(np.asarray([tag + y for y in x], dtype=object), categorize=False) & mask).astype(np.int64) if x else np.zeros(0, np.int64)
     has_core, has_tail = np.array([bool(x) for x in core], bool), np.array([bool(x) for x in tail], bool)
     a, b = hashed(core, "w"), hashed(tail, "t")
-    out = np.unique(np.concatenate([(owner << bits | a[codes])[has_core[codes]], (owner << bits | b[codes])[has_tail[codes]]]) if len(codes) else np.zeros(0, np.int64))
+    if not len(codes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    tenths = [filled << bits | hashed([str(i) for i in range(11)], tag)[share.astype(np.int64)] for tag, share in shares]
+    out = np.unique(np.concatenate([(owner << bits | a[codes])[has_core[codes]], (owner << bits | b[codes])[has_tail[codes]], *tenths]))
     return out >> bits, out & int(mask)
 
 
@@ -55,11 +67,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int = BITS, rounds: int = 150, rate: float = 0.1, least: int = 5, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by Adam on the whole sample. Features of fewer than ``least`` texts get no weight."""
+def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int = BITS, rounds: int = 150, rate: float = 0.1, least: int = 3, evidence: float = 20.0, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by Adam on the whole sample. Features of fewer than ``least`` texts, or with a likelihood ratio
+    below ``evidence``, get no weight."""
     size = 1 << bits
-    spread = np.bincount(feature, minlength=size)
-    known = spread[feature] >= least
+    spread, ratio = np.bincount(feature, minlength=size), np.zeros(size)
+    for k in range(GRADES):
+        seen, part = np.bincount(feature[grade[row] == k], minlength=size), np.mean(grade == k) if len(grade) else 0
+        some = np.flatnonzero(seen)
+        ratio[some] += 2 * seen[some] * np.log(seen[some] / (spread[some] * part))
+    known = (spread[feature] >= least) & (ratio[feature] >= evidence)
     row, feature = row[known], feature[known]
     n = len(grade)
     share = np.clip([(grade <= k).mean() if n else 0.01 for k in range(GRADES - 1)], 0.005, 0.995)
@@ -122,6 +139,7 @@ def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str =
 
 def rate(docs: DataFrame, weights: np.ndarray, cuts: np.ndarray, text: str = "text") -> DataFrame:
     """docs with expected_grade and tail_prob, the probability of the highest grade."""
+    docs = docs.drop("expected_grade", "tail_prob")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,5 +156,6 @@ def rate(docs: DataFrame, weights: np.ndarray, cuts: np.ndarray, text: str = "te
 def select_good(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", tail: float = 0.5) -> DataFrame:
     """The rows of docs whose tail probability reaches ``tail``, with docs's columns."""
     weights, cuts = train(docs, ratings, key, text)
-    rated = rate(docs.withColumnsRenamed({}), weights, cuts, text)
-    return rated.where(F.col("tail_prob") >= tail).select(*docs.columns)
+    plain, names = scratch.shielded(docs)
+    rated = rate(plain, weights, cuts, f"c{names.index(text)}").where(F.col("tail_prob") >= tail)
+    return rated.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
