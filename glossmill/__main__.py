@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     if not args.command:
         parser.print_help()
         return 2
-    from .plans import adapters, config, runner  # noqa: F401  registers the datasets
+    from .plans import adapters, config, processors, runner  # noqa: F401  the first and third register stages
     from .session import local_session, ship_package
 
     spark = local_session()
