@@ -5,7 +5,8 @@ hashes with their counts; it grows with the corpus and is never collected or bro
 Dirichlet: p(w | h) = (c(hw) + mu p(w | h')) / (c(h) + mu), where h' is h without its first word, down to
 p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). It needs only counts of n-grams, so that a frequent context is no hot key.
 
-Scoring deals the texts into blocks of a few MB. A block asks the model's buckets for its distinct n-grams and gets their
+Texts are tokenised once, into blocks of a few MB that are written as word hashes and codes; training and scoring read
+those. To score, a block asks the model's buckets for its distinct n-grams and gets their
 counts back; of these it builds its part of the automaton. A state is a context that was seen in training. A seen n-gram
 is an arc with the log of its smoothed probability; the failure arc of a state leads to the context without its first
 word and weighs mu / (c(h) + mu), which is exactly the factor of unseen words. One traversal from left to right carries the
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,25 +40,58 @@ _END = np.uint64(0xA5A5F00D12345677)
 
 
 class Grams:
-    """The n-grams of some texts: at each order the hash of the n-gram that ends at a place, where there is one."""
-
-    def __init__(self, text: pa.Array, order: int):
-        dictionary, codes, counts = arrowtext.words(text)
-        self.types = len(dictionary)
-        hashes = np.append(arrowtext.word_hashes(dictionary), _END)
-        self.codes = np.insert(codes, np.cumsum(counts), self.types)
-        self.lengths = counts + 1
-        starts = np.cumsum(self.lengths) - self.lengths
-        self.place = np.arange(len(self.codes)) - np.repeat(starts, self.lengths)
-        self.at = [hashes[self.codes]]
-        for k in range(1, order):
-            longer = np.zeros(len(self.codes), np.uint64)
+    """The n-grams of some tokenised texts: at each order the hash of the n-gram that ends at a place, where there is one.
+
+    hashes are those of the distinct words, ascending; the code after the last word's stands for the end token.
+    """
+
+    def __init__(self, hashes: np.ndarray, codes: np.ndarray, lengths: np.ndarray, order: int):
+        self.types, self.codes, self.lengths = len(hashes), codes, lengths
+        starts = np.cumsum(lengths) - lengths
+        self.place = np.arange(len(codes)) - np.repeat(starts, lengths)
+        self.at = [np.append(hashes, _END)[codes]]
+        for _ in range(1, order):
+            longer = np.zeros(len(codes), np.uint64)
             longer[1:] = arrowtext.extend(self.at[-1][:-1], self.at[0][1:])
             self.at.append(longer)
 
-    def order(self, k: int) -> np.ndarray:
-        """Hashes of all k-grams, in the order of their ends."""
-        return self.at[k - 1][self.place >= k - 1]
+    def order(self, k: int, texts: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of all k-grams, in the order of their ends; only of the texts where ``texts`` is true, if given."""
+        wanted = self.place >= k - 1
+        return self.at[k - 1][wanted if texts is None else wanted & np.repeat(texts, self.lengths)]
+
+
+def tokenised(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, codes with the end tokens, and the tokens of each text."""
+    dictionary, codes, counts = arrowtext.words(text)
+    hashes, number = np.unique(arrowtext.word_hashes(dictionary), return_inverse=True)
+    return hashes, np.insert(number[codes], np.cumsum(counts), len(hashes)), counts + 1
+
+
+BLOCKS = "_block long, texts long, held binary, hashes binary, codes binary, lengths binary, keys binary"
+
+
+def blocks(df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of df, tokenised, as a written table of blocks; held_out says which texts aren't trained on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch in arrowtext.slices(batches, text, BLOCK_BYTES):
+            hashes, codes, lengths = tokenised(arrowtext.texts(batch, text))
+            held = np.array(batch.column("_held").to_pylist(), bool)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([batch.schema.field(key)])) as out:
+                out.write_batch(pa.RecordBatch.from_arrays([batch.column(key)], [key]))
+            row = (number, len(lengths), held.tobytes(), arrowtext.pack_sorted(hashes), arrowtext.pack_small(codes), arrowtext.pack_small(lengths), sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), *[pa.binary()] * 5))], ["_block", "texts", "held", "hashes", "codes", "lengths", "keys"])
+            number += 1
+
+    docs = df.select(F.col(key), F.col(text), F.coalesce(held_out, F.lit(False)).alias("_held"))
+    return scratch.materialise(docs.mapInArrow(run, BLOCKS), "lm-blocks")
+
+
+def _grams(row: dict, order: int) -> Grams:
+    return Grams(arrowtext.unpack_sorted(row["hashes"]), arrowtext.unpack_small(row["codes"]), arrowtext.unpack_small(row["lengths"]), order)
 
 
 def _parts(values: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -70,7 +105,7 @@ def _parts(values: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
         yield int(bucket[a]), a, b
 
 
-def _counted(order: int, bits: int, text: str):
+def _counted(order: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[list[np.ndarray]] = [[] for _ in range(order)]
         tokens = 0
@@ -84,14 +119,16 @@ def _counted(order: int, bits: int, text: str):
                 parts = list(_parts(values, bits))
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([k + 1] * len(parts), pa.int32()), pa.array([arrowtext.pack_sorted(values[a:b]) for _, a, b in parts], pa.binary()), pa.array([arrowtext.pack_small(counts[a:b]) for _, a, b in parts], pa.binary())], ["bucket", "k", "hashes", "counts"])
 
-        for batch in arrowtext.slices(batches, text):
-            grams = Grams(arrowtext.texts(batch, text), order)
-            for k in range(order):
-                waiting[k].append(grams.order(k + 1))
-            tokens += len(grams.codes)
-            if tokens >= COMBINED:
-                yield from out()
-                tokens = 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grams, trained = _grams(row, order), ~np.frombuffer(row["held"], bool)
+                for k in range(order):
+                    waiting[k].append(grams.order(k + 1, trained))
+                tokens += len(grams.codes)
+                if tokens >= COMBINED:
+                    yield from out()
+                    tokens = 0
         yield from out()
 
     return run
@@ -120,41 +157,43 @@ class Model:
         self.tokens, self.types = int(row["n"]), int(row["v"])
 
 
-def train(df: DataFrame, text: str = "text", order: int = 2, bits: int | None = None) -> Model:
-    """Count the n-grams of all rows. The number of buckets follows the size of the corpus."""
-    if bits is None:
-        bits = bucket_bits(df, text)
-    counted = df.select(text).mapInArrow(_counted(order, bits, text), "bucket int, k int, hashes binary, counts binary")
+def bucket_bits(corpus: DataFrame) -> int:
+    """Buckets as many as half the blocks, so that a bucket's n-grams fill a task as a block's do."""
+    return max(3, min(30, math.ceil(math.log2(max(1, corpus.select("_block").count() / 2)))))
+
+
+def train(corpus: DataFrame, order: int = 2, bits: int | None = None) -> Model:
+    """Count the n-grams of a corpus in blocks, without its held-out texts. The number of buckets follows the corpus."""
+    bits = bits or bucket_bits(corpus)
+    counted = corpus.select("held", "hashes", "codes", "lengths").mapInArrow(_counted(order, bits), "bucket int, k int, hashes binary, counts binary")
     summed = counted.groupBy("bucket").applyInArrow(_summed, "bucket int, k int, hashes binary, counts binary, total long, types long")
     table = scratch.materialise(summed, "lm")
-    scratch.release_finished_shuffles(df.sparkSession)
+    del counted, summed
+    scratch.release_finished_shuffles(corpus.sparkSession)
     return Model(table, order, bits)
 
 
-def bucket_bits(df: DataFrame, text: str) -> int:
-    size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    return max(3, min(30, math.ceil(math.log2(max(1, size / (2 * BLOCK_BYTES))))))
-
+def _asked(order: int, bits: int):
+    """The distinct n-grams of each block by bucket, with how often the block's training texts have them."""
 
-def _asked(order: int, bits: int, text: str):
-    def run(table: pa.Table) -> pa.Table:
-        block = table.column("_block")[0].as_py()
-        grams = Grams(_texts(table, text), order)
-        rows = []
-        for k in range(1, order + 1):
-            values = np.unique(grams.order(k))
-            rows += [(bucket, block, k, arrowtext.pack_sorted(values[a:b])) for bucket, a, b in _parts(values, bits)]
-        columns = list(zip(*rows))
-        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "_block": pa.array(columns[1], pa.int64()), "k": pa.array(columns[2], pa.int32()), "hashes": pa.array(columns[3], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grams, trained, rows = _grams(row, order), ~np.frombuffer(row["held"], bool), []
+                trained = np.repeat(trained, grams.lengths)
+                for k in range(1, order + 1):
+                    wanted = grams.place >= k - 1
+                    values, inverse = np.unique(grams.at[k - 1][wanted], return_inverse=True)
+                    counts = np.bincount(inverse[trained[wanted]], minlength=len(values))
+                    rows += [(bucket, row["_block"], k, arrowtext.pack_sorted(values[a:b]), arrowtext.pack_small(counts[a:b])) for bucket, a, b in _parts(values, bits)]
+                columns = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "k", "hashes", "counts"])
 
     return run
 
 
-def _texts(table: pa.Table, text: str) -> pa.Array:
-    batch = table.select([text]).combine_chunks().to_batches()[0]
-    return arrowtext.texts(batch, text)
-
-
+_ASKED = "bucket int, _block long, k int, hashes binary, counts binary"
 _REPLY = "_block long, bucket int, k int, counts binary"
 
 
@@ -172,6 +211,32 @@ def _answered(asked: pa.Table, model: pa.Table) -> pa.Table:
     return pa.table({"_block": asked.column("_block"), "bucket": asked.column("bucket"), "k": asked.column("k"), "counts": pa.array(counts, pa.binary())})
 
 
+def _counted_answers(asked: pa.Table) -> pa.Table:
+    """The sums of the counts of one bucket, given back to every block that asked. Block -1 gets the bucket's training
+    tokens and distinct words."""
+    rows: dict[int, list] = {}
+    for block, k, h, c in zip(asked.column("_block").to_pylist(), asked.column("k").to_pylist(), asked.column("hashes").to_pylist(), asked.column("counts").to_pylist()):
+        rows.setdefault(k, []).append((block, arrowtext.unpack_sorted(h), arrowtext.unpack_small(c)))
+    bucket, out = asked.column("bucket")[0].as_py(), []
+    for k, parts in rows.items():
+        _, inverse = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([p[2] for p in parts])).astype(np.int64)
+        at = 0
+        for block, values, _ in parts:
+            out.append((block, bucket, k, arrowtext.pack_small(total[inverse[at : at + len(values)]])))
+            at += len(values)
+        if k == 1:
+            out.append((-1, bucket, 1, arrowtext.pack_small(np.array([total.sum(), (total > 0).sum()]))))
+    columns = list(zip(*out))
+    return pa.table({"_block": pa.array(columns[0], pa.int64()), "bucket": pa.array(columns[1], pa.int32()), "k": pa.array(columns[2], pa.int32()), "counts": pa.array(columns[3], pa.binary())})
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = [arrowtext.unpack_small(c) for c in batch.column("counts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x[0]) for x in sums], pa.int64()), pa.array([int(x[1]) for x in sums], pa.int64())], ["n", "v"])
+
+
 class Automaton:
     """The part of the backoff automaton that some texts can reach. State 0 has no context; its arcs cover all words."""
 
@@ -238,9 +303,10 @@ class Automaton:
         return total
 
 
-def _scored(order: int, text: str, key: str, held: str, tokens: int, types: int, mu: float):
-    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        grams = Grams(_texts(docs, text), order)
+def _scored(order: int, key: str, tokens: int, types: int, mu: float):
+    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        grams = _grams(row, order)
         found = sorted(zip(replies.column("k").to_pylist(), replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()))
         counts = [np.concatenate([arrowtext.unpack_small(c) for k, _, c in found if k == n] or [np.zeros(0, np.int64)]) for n in range(1, order + 1)]
         automaton = Automaton(grams, counts, tokens, types, mu)
@@ -252,19 +318,36 @@ def _scored(order: int, text: str, key: str, held: str, tokens: int, types: int,
         of_text = np.repeat(np.arange(len(ends)), grams.lengths)
         base = np.bincount(of_text, weights=np.log10((c + 0.5) / (tokens + 0.5 * (types + 1))), minlength=len(ends))
         n_known = np.bincount(of_text, weights=c > 0, minlength=len(ends)).astype(np.int64)
-        return pa.table({key: docs.column(key), "held_out": docs.column(held), "n_tokens": pa.array(grams.lengths, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(ends), tokens), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
+        keys = pa.ipc.open_stream(row["keys"]).read_all().column(0)
+        return pa.table({key: keys, "held_out": pa.array(np.frombuffer(row["held"], bool)), "n_tokens": pa.array(grams.lengths, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(ends), tokens), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
 
     return run
 
 
-def score(df: DataFrame, model: Model, held_out: Column, key: str = "doc_id", text: str = "text", mu: float = 50.0) -> DataFrame:
-    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    size = df.agg(F.coalesce(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    docs = df.select(F.col(key), F.col(text), held_out.alias("_held"), F.pmod(F.xxhash64(key, text), F.lit(blocks)).alias("_block"))
-    order, bits = model.order, model.bits
-    asked = docs.groupBy("_block").applyInArrow(_asked(order, bits, text), "bucket int, _block long, k int, hashes binary")
-    answered = asked.groupBy("bucket").cogroup(model.table.select("bucket", "k", "hashes", "counts").groupBy("bucket")).applyInArrow(_answered, _REPLY)
-    kind = df.schema[key].dataType.simpleString()
+def _finished(corpus: DataFrame, replies: DataFrame, order: int, tokens: int, types: int, kind: str, key: str, mu: float) -> DataFrame:
     schema = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.groupBy("_block").cogroup(answered.groupBy("_block")).applyInArrow(_scored(order, text, key, "_held", model.tokens, model.types, mu), schema)
+    return corpus.groupBy("_block").cogroup(replies.groupBy("_block")).applyInArrow(_scored(order, key, tokens, types, mu), schema)
+
+
+def score(corpus: DataFrame, model: Model, kind: str = "long", key: str = "doc_id", mu: float = 50.0) -> DataFrame:
+    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of a corpus in blocks, by a model of
+    any corpus; kind is the key's type."""
+    asked = corpus.select("_block", "held", "hashes", "codes", "lengths").mapInArrow(_asked(model.order, model.bits), _ASKED).drop("counts")
+    answered = asked.groupBy("bucket").cogroup(model.table.select("bucket", "k", "hashes", "counts").groupBy("bucket")).applyInArrow(_answered, _REPLY)
+    replies = scratch.materialise(answered, "lm-replies")
+    del asked, answered
+    scratch.release_finished_shuffles(corpus.sparkSession)
+    return _finished(corpus, replies, model.order, model.tokens, model.types, kind, key, mu)
+
+
+def score_own(corpus: DataFrame, order: int = 2, kind: str = "long", key: str = "doc_id", mu: float = 50.0) -> DataFrame:
+    """As ``score`` by the model of the corpus's own training texts. One exchange both counts and asks, so that neither the
+    model nor a second copy of the n-grams is written."""
+    asked = corpus.select("_block", "held", "hashes", "codes", "lengths").mapInArrow(_asked(order, bucket_bits(corpus)), _ASKED)
+    answered = asked.groupBy("bucket").applyInArrow(_counted_answers, _REPLY)
+    replies = scratch.materialise(answered, "lm-replies")
+    del asked, answered
+    scratch.release_finished_shuffles(corpus.sparkSession)
+    sums = replies.where("_block = -1").select("counts").mapInArrow(_sizes, "n long, v long")
+    row = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    return _finished(corpus, replies.where("_block >= 0"), order, int(row["n"]), int(row["v"]), kind, key, mu)
