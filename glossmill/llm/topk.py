@@ -15,7 +15,7 @@ candidates. A partition returns k entries for each query at most, ties included,
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null id, take no part;
 missing components of a shorter vector count as 0; a candidate with the query's own id is left out; ties go to the
 smaller id; repeated candidate rows compete each; equal query rows are one query; sums are exact whatever the size of
-the components, and scores beyond a long are held at its ends; an empty table gives an empty table.
+the components, and scores beyond a long are held at its ends and rank as such; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -146,7 +146,7 @@ def _resolve(block_ids: np.ndarray, block: np.ndarray, cutoff: list[int | None],
                         high = total >= cut
                         some, total = some[high], total[high]
                     if len(some):
-                        best.offer(q, total, ids[some])
+                        best.offer(q, np.array([_clip(t) for t in total], object) if total.dtype == object else total, ids[some])
         out = [(int(block_ids[q]), q, i, _clip(-s)) for q, held in enumerate(best.held) for s, i in held]
         columns = list(zip(*out)) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], ["query_id", "q", "vec_id", "score"])
@@ -175,7 +175,7 @@ def exact_top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: f
             gathered = gathered.groupBy("q").agg(F.get(F.sort_array(F.flatten(F.collect_list("totals")), asc=False), F.lit(k - 1)).alias("cut"))
             cutoff: list[int | None] = [None] * len(block_ids)
             for row in gathered.collect():  # one number for each query of the block
-                cutoff[row["q"]] = row["cut"]
+                cutoff[row["q"]] = None if row["cut"] == -(2**63) else row["cut"]  # all that lies below is held there
             resolved = candidates.mapInArrow(_resolve(block_ids, block, cutoff, bounds, k, scale), "query_id long, q int, vec_id long, score long")
             order = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
             top = resolved.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

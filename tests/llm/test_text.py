@@ -272,8 +272,8 @@ def brute_top(rows, query, k):
     good = [(i, ints(v)) for i, v in rows if i is not None and ints(v) is not None]
     for q, a in good:
         if query(q):
-            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q)[:k]
-            out += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(found)]
+            found = sorted((-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i) for i, b in good if i != q)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
     return sorted(out)
 
 
