@@ -23,7 +23,7 @@ Tasks return a forest, at most one edge for each set. Identical sets are one set
 Defined cases: texts with fewer words than n have their whole sequence as one shingle; null texts and texts without words
 have an empty set and link with nothing; repeated rows link, as their sets are equal; a null doc_id is never the smallest
 of a component that has another; an empty table gives an empty table; extra columns are ignored by ``components`` and
-kept by ``keep_one``.
+kept by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ LIGHT_MOST = 16
 CLUSTER_SHINGLES = 2_000_000
 #: Shingles whose keys a task combines at once.
 COMBINED = 2_500_000
+#: Bytes of text whose keys make a bucket: the more keys a bucket has, the fewer buckets repeat an edge.
+BUCKET_BYTES = 64 << 20
 _SHORT = 0x5851F42D4C957F2D
 _ALL = (1 << 64) - 1
 
@@ -213,15 +215,27 @@ def _facts(text: str, n: int, law: Sizes, bits: int):
 
 
 def _stars(key: np.ndarray, uid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once with its smallest uid, ascending; and the distinct edges (uid, smallest uid of a key)."""
+    """Each key once with its smallest uid, ascending; and edges (uid, smallest uid that it is connected with), one at most
+    for each uid, of the rows that meet under the keys."""
     by = np.lexsort((uid, key))
     key, uid = key[by], uid[by]
     fresh = np.ones(len(key), bool)
     fresh[1:] = key[1:] != key[:-1]
     lead = uid[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
     other = ~fresh & (lead != uid)
-    edges = np.unique(np.stack([uid[other], lead[other]], axis=1), axis=0)
-    return key[fresh], uid[fresh], edges
+    nodes, ends = np.unique(np.stack([uid[other], lead[other]]), return_inverse=True)
+    a, b = ends.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while True:
+        least, new = np.minimum(label[a], label[b]), label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    far = label != np.arange(len(nodes))
+    return key[fresh], uid[fresh], np.stack([nodes[far], nodes[label[far]]], axis=1)
 
 
 def _met(table: pa.Table) -> pa.Table:
@@ -234,17 +248,21 @@ def _met(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(edges[:, 0], pa.int64()), "v": pa.array(edges[:, 1], pa.int64())})
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    n = edges.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("u")).first()
+    return n["n"] == n["u"] and edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of all nodes of the edges (u, v); root is the component's smallest node.
 
     Each round links every node's neighbours to the smallest of them and itself (first those larger than the node, then
-    those not larger), which keeps the components and ends in stars. A round is a shuffle with map-side minima; its edges
-    are written, so that lineage stays short.
+    those not larger), which keeps the components, until all edges are stars: no node has two edges, and no root has one. A
+    round is a shuffle with map-side minima; its edges are written, so that lineage stays short.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = scratch.materialise(edges, name)
-    before = None
-    while True:
+    while not _stars_only(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -253,59 +271,60 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         edges = scratch.materialise(small, name)
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
-        if before == now:
-            break
-        before = now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))
 
 
-class Forest:
-    """Union-find over 0 .. n - 1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def links(sets: list[np.ndarray], percent: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A forest of the links among some sets; with ``left``, only links between sets where it is true and sets where it isn't.
 
-    The inverted lists of all shingles are built once. A set scans the lists of its shingles, and counting the entries
-    gives its overlap with every set before it.
+    A set's shingles are put in order of their frequency among these sets. Of two linked sets the rarest shingles, as many
+    as they may differ in and one more, have one in common; so inverted lists hold these only. A set scans the lists of
+    its own rarest shingles. Of every component that it meets it is first compared with the set that shares most of them,
+    then with the others of components that it still isn't part of.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     value, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
     _, code, count = np.unique(value, return_inverse=True, return_counts=True)
-    by = np.argsort(code, kind="stable")
-    listed, ends = owner[by], np.cumsum(count)
-    starts = ends - count
-    forest, found, at = Forest(n), [], 0
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    by = np.lexsort((rank[code], owner))
+    code, firsts = rank[code][by], np.cumsum(sizes) - sizes  # now codes are ranks, ascending in each set
+    place = np.arange(len(code)) - np.repeat(firsts, sizes)
+    rare = place < np.repeat(sizes - -(-sizes * percent // 100) + 1, sizes)
+    of = np.argsort(code[rare], kind="stable")
+    listed, edges = owner[rare][of], np.searchsorted(code[rare][of], np.arange(len(count) + 1))
+    label, mark, found = np.arange(n), np.zeros(len(count), bool), []
+
+    def compare(i: int, others: np.ndarray) -> None:
+        """Join set i with those of the others that it links with."""
+        some = sizes[others]
+        at = np.repeat(firsts[others] - (np.cumsum(some) - some), some) + np.arange(some.sum())
+        overlap = np.add.reduceat(mark[code[at]].astype(np.int64), np.cumsum(some) - some)
+        for j in others[100 * overlap >= percent * (some + sizes[i] - overlap)].tolist():
+            if label[i] != label[j]:
+                a, b = min(label[i], label[j]), max(label[i], label[j])
+                label[label == b] = a
+                found.append((i, j))
+
     for i in range(n):
-        own = code[at : at + sizes[i]]
-        at += sizes[i]
-        own = own[count[own] > 1]
-        if i == 0 or not len(own):
-            continue
-        spans = [listed[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())]
-        overlap = np.bincount(np.concatenate(spans), minlength=n)[:i]
-        hit = 100 * overlap >= percent * (sizes[:i] + sizes[i] - overlap)
+        own = code[firsts[i] : firsts[i] + sizes[i]]
+        spans = [listed[edges[c] : edges[c + 1]] for c in own[rare[firsts[i] : firsts[i] + sizes[i]]].tolist()]
+        other, shared = np.unique(np.concatenate(spans), return_counts=True)
+        near = (other < i) & (100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i]))
         if left is not None:
-            hit &= left[:i] != left[i]
-        found += [(i, j) for j in np.flatnonzero(hit).tolist() if forest.join(i, j)]
+            near &= left[other] != left[i]
+        other, shared = other[near], shared[near]
+        if not len(other):
+            continue
+        mark[own] = True
+        by_most = np.argsort(-shared, kind="stable")
+        compare(i, other[by_most[np.unique(label[other[by_most]], return_index=True)[1]]])
+        rest = other[label[other] != label[i]]
+        if len(rest):
+            compare(i, rest)
+        mark[own] = False
     return found
 
 
@@ -346,7 +365,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     spark = docs.sparkSession
     rows = docs.select("uid", text)
     size = rows.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    bits = max(3, min(30, math.ceil(math.log2(max(1, size / (8 << 20))))))
+    bits = max(3, min(30, math.ceil(math.log2(max(1, size / BUCKET_BYTES)))))
     if boundary is None:
         boundary = choose_boundary(small_sizes(rows, text, n), percent)
     facts = scratch.materialise(rows.mapInArrow(_facts(text, n, Sizes(percent, boundary), bits), _FACTS), "shingles")
@@ -384,9 +403,10 @@ def numbered(df: DataFrame) -> DataFrame:
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """df's rows and columns with one document of each component: the one with the smallest key."""
-    rows = numbered(df)
-    kept = components(rows, key, text, n, percent).where("first").select("uid")
-    return rows.join(kept.hint("merge"), "uid").select(*df.columns)
+    plain, names = scratch.shielded(df)
+    rows = numbered(plain)
+    kept = components(rows, f"c{names.index(key)}", f"c{names.index(text)}", n, percent).where("first").select("uid")
+    return rows.join(kept.hint("merge"), "uid").select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
 
 
 def small_sizes(rows: DataFrame, text: str, n: int) -> dict[int, int]:
