@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from . import arrowtext
 
 #: Segments that a worker remembers; the memo is emptied when it is full.
-MEMO = 250_000
+MEMO = 400_000
 # ASCII white space splits texts into segments; the others send a text to the pattern as a whole.
 _SEGMENT = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -43,13 +43,19 @@ class Encoder:
             self.tokens[rank] = token
         self.pattern = regex.compile(pattern)
         self.halves: dict[int, tuple[int, int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
+        self.lengths = [len(t) for t in self.tokens]
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self._reachable(token, rank):
                 self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+        # of every token the longest shorter one that it begins with
+        self.shorter = [-1] * len(self.tokens)
+        for token, rank in ranks.items():
+            self.shorter[rank] = next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if self.ranks.get(token[:n]) in self.halves), -1)
         if ranks:
             self.automaton.make_automaton()
+        self.pieces: dict[str, list[int]] = {}
         self.memo: dict[str, tuple[list[int], str, bytes]] = {}
 
     def _reachable(self, token: bytes, rank: int) -> bool:
@@ -73,11 +79,8 @@ class Encoder:
         return True
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the border between two tokens survives all merges. Undoes the younger merge at the border, step by step:
+        """Whether the border between two tokens survives all merges; the answer is kept. Undoes the younger merge at the border, step by step:
         at each stage the two pieces that touch must not form a token that would have been merged before that step."""
-        known = self.fits.get((left, right))
-        if known is not None:
-            return known
         a, b, before, answer = left, right, len(self.tokens), True
         while True:
             joined = self.ranks.get(self.tokens[a] + self.tokens[b])
@@ -94,7 +97,7 @@ class Encoder:
                 before, b = b + 1, self.halves[b][0]
         if len(self.fits) > 4_000_000:
             self.fits.clear()
-        self.fits[(left, right)] = answer
+        self.fits[left << 32 | right] = answer
         return answer
 
     def piece(self, data: bytes) -> list[int]:
@@ -102,38 +105,46 @@ class Encoder:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        at_place: list[list[int]] = [[] for _ in data]
+        size, lengths, shorter, fits = len(data), self.lengths, self.shorter, self.fits
+        longest = [-1] * size
         for end, (length, rank) in self.automaton.iter(data.decode("latin-1")):
-            at_place[end - length + 1].append(rank)  # ends ascend, so the longest is last
-        size, lengths = len(data), self.tokens
-        dead = bytearray(size + 1)
-        place, chosen, tried = 0, [], [len(at_place[0]) - 1]
-        while place < size:
-            options, i = at_place[place], tried[-1]
-            while i >= 0:
-                token = options[i]
-                if not dead[place + len(lengths[token])] and (not chosen or self.compatible(chosen[-1], token)):
-                    break
-                i -= 1
-            if i >= 0:
-                tried[-1] = i - 1
+            longest[end - length + 1] = rank  # ends ascend, so the longest comes last
+        dead, place, chosen, left, token = bytearray(size + 1), 0, [], -1, longest[0]
+        while True:
+            while token >= 0:  # the longest token that may stand here
+                if not dead[place + lengths[token]]:
+                    fit = True if left < 0 else fits.get(left << 32 | token)
+                    if fit or fit is None and self.compatible(left, token):
+                        break
+                token = shorter[token]
+            if token >= 0:
                 chosen.append(token)
-                place += len(lengths[token])
-                if place < size:
-                    tried.append(len(at_place[place]) - 1)
-            else:
-                if not chosen:
-                    raise ValueError("a byte of the text is no token")
+                place += lengths[token]
+                if place == size:
+                    return chosen
+                left, token = token, longest[place]
+            elif chosen:
                 dead[place] = 1
-                tried.pop()
-                place -= len(lengths[chosen.pop()])
-        return chosen
+                token = chosen.pop()
+                place -= lengths[token]
+                left = chosen[-1] if chosen else -1
+            else:
+                raise ValueError("a byte of the text is no token")
 
     def segment(self, text: str) -> tuple[list[int], str, bytes]:
         """Ids of a segment, their decimal form and their bytes."""
         found = self.memo.get(text)
         if found is None:
-            ids = [i for p in self.pattern.findall(text) for i in self.piece(p.encode())]
+            ids = []
+            for p in self.pattern.findall(text):
+                known = self.pieces.get(p)
+                if known is None:
+                    known = self.piece(p.encode())
+                    if len(p) <= 64:
+                        if len(self.pieces) >= MEMO:
+                            self.pieces.clear()
+                        self.pieces[p] = known
+                ids += known
             found = (ids, ",".join(map(str, ids)), self.decode(ids))
             if len(text) <= 64:
                 if len(self.memo) >= MEMO:
