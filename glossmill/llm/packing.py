@@ -16,6 +16,7 @@ each; an empty table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -27,14 +28,20 @@ from pyspark.sql import DataFrame
 from . import arrowtext
 
 TIERS = (2048, 1024, 512, 256)
-#: Words that a worker remembers; the memo is emptied when it is full.
-MEMO = 400_000
+#: Words and marks that a worker remembers; they are forgotten when there are so many.
+MEMO = 1_500_000
+# Marks that may follow letters, and the end of the Latin letters whose classes all Unicode versions share.
+_MARKS, _LATIN_END = b".,;:!?", "\u0250"
 _LOADED: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of whole texts from ids of words. The tokenizer drops white space and never joins across it, so that the ids
-    of a text are those of its words in order; each distinct word goes through the tokenizer once."""
+    """Ids of whole texts from ids of words. The tokenizer drops white space and never joins across it, so that the ids of a
+    text are those of its words in order; nor does it join letters with the marks after them, and it lowers letters. So a
+    word is known by its letters and by its marks, and each of these goes through the tokenizer once.
+
+    What is known is kept in flat arrays: the ids of entry i end at ends[i]. Entry 0 is empty.
+    """
 
     def __init__(self, path: str):
         import os
@@ -43,29 +50,64 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
+        # Words are parted only if this tokenizer parts them, and plain letters skip its pipeline only if that leaves them alone.
+        whole = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.parts = all(whole(f"Wo{c}rd,; Élan{c}!") == [i for x in (f"wo{c}rd", ",;", f"Élan{c}", "!") for i in whole(x)] for c in "abcdefghijklmnopqrstuvwxyz")
+        self.plain = all(whole(c * 3 + "zq") == [t.id for t in self.tokenizer.model.tokenize(c * 3 + "zq")] for c in "abcdefghijklmnopqrstuvwxyz")
+        self.forget()
+
+    def forget(self) -> None:
+        self.entries: dict[bytes, int] = {b"": 0}
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    @staticmethod
+    def parted(word: bytes) -> tuple[bytes, bytes]:
+        """Letters and the marks after them; a word of any other form stays whole."""
+        core = word.rstrip(_MARKS)
+        if core.isalpha():  # ASCII letters only
+            return core.lower(), word[len(core) :]
+        if len(core) < len(word) and core and not core.isascii():
+            text = core.decode()
+            if text.isalpha() and max(text) < _LATIN_END:
+                return core, word[len(core) :]
+        return word, b""
+
+    def learn(self, words: list[bytes]) -> None:
+        new = [w for w in dict.fromkeys(words) if w not in self.entries]
+        letters = [w for w in new if self.plain and w.isalpha() and w.islower()]  # ASCII only
+        if letters:
+            model = self.tokenizer.model
+            for w in letters:
+                self._keep(w, [t.id for t in model.tokenize(w.decode())])
+            new = [w for w in new if w not in self.entries]
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                self._keep(w, e.ids)
+
+    def _keep(self, word: bytes, ids: list[int]) -> None:
+        self.entries[word] = len(self.ends)
+        self.flat.extend(ids)
+        self.ends.append(len(self.flat))
 
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text closed by end_id; the number of ids of each text."""
         dictionary, codes, counts = arrowtext.words(text, lower=False)
-        names = [w.decode() for w in dictionary]
-        if len(self.memo) + len(names) > MEMO:
-            self.memo.clear()
-        new = [w for w in names if w not in self.memo]
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.memo[w] = np.array(e.ids, np.uint32)
-        parts = [*(self.memo[w] for w in names), np.array([end_id], np.uint32)]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate(parts)
-        firsts = np.cumsum(sizes) - sizes
-        closed = np.insert(codes, np.cumsum(counts), len(names))  # the end id stands after each text's last word
+        if len(self.entries) + len(dictionary) > MEMO:
+            self.forget()
+        parts = [p for w in dictionary for p in (self.parted(w) if self.parts else (w, b""))]
+        self.learn(parts)
+        entry = np.array([self.entries[p] for p in parts], np.int64).reshape(-1, 2)
+        ends = np.frombuffer(self.ends, np.int64)
+        firsts = np.concatenate([[0], ends[:-1]])
+        flat = np.append(np.frombuffer(self.flat, np.uint32), np.uint32(end_id)) if len(self.flat) else np.array([end_id], np.uint32)
+        # the end id is one more entry, which stands after each text's last word
+        firsts, sizes = np.append(firsts, len(flat) - 1), np.append(ends - firsts, 1)
+        closed = np.insert(entry[codes], np.cumsum(counts), [len(sizes) - 1, 0], axis=0).ravel()
         n = sizes[closed]
-        ids = flat[np.repeat(firsts[closed] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(n) else np.zeros(0, np.uint32)
-        of_text = np.repeat(np.arange(len(counts)), counts + 1)
-        lengths = np.bincount(of_text, weights=n, minlength=len(counts)).astype(np.int64)
-        return ids, lengths
+        ids = flat[np.repeat(firsts[closed] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        of_text = np.repeat(np.arange(len(counts)), 2 * (counts + 1))
+        return ids, np.bincount(of_text, weights=n, minlength=len(counts)).astype(np.int64)
 
 
 class Packer:
