@@ -5,6 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,28 +14,50 @@ from pyspark.sql import functions as F
 from glossmill.llm import ngram_join, ordinal, packing, radix_dedup, scratch, secrets
 
 
+_LEFT: list[str] = []
+
+
+def stage(f):
+    """A stage starts from a written table, so it first deletes what the stages before it wrote on their way."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        scratch.delete(spark, _LEFT)
+        before = len(scratch.MADE)
+        out = f(spark, docs, sf_dir)
+        _LEFT.extend(scratch.MADE[before:])
+        return out
+
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return ordinal.select_good(docs, labels.select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade")))
 
 
+@stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return radix_dedup.drop_copies(docs)
 
 
+@stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 one stays."""
     return ngram_join.keep_one(docs, n=5, percent=80)
 
 
+@stage
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Owner-specific credentials are masked; the documents stay."""
     out = secrets.mask_live(docs, F.concat_ws("/", "source", "lang"), F.col("source"))
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -48,6 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents; each stage's result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, f in STAGES[:-1]:
+        docs = scratch.materialise(f(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,6 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that this process has written.
+MADE: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,6 +30,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,6 +39,15 @@ def shielded(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*(f"c{i}" for i in range(len(df.columns)))), df.columns
 
 
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    paths.clear()
+    release_finished_shuffles(spark)
+
+
 def release_finished_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of jobs whose result is already in a table."""
     import gc
