@@ -62,8 +62,9 @@ def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_tex
     start, length = 1, first
     while True:
         level = _level(rows, _next_groups(rows, "radix-groups"))
-        # A group has ended when its texts are no longer than what has been compared; at the first level rows have no number yet.
-        ended = F.col("_next").isNotNull() & (F.length(norm) < start + length) & F.lit(start > 1)
+        # A group has ended when its chunk is shorter than asked for; a chunk that is filled may be followed by more text in some
+        # rows and by none in others, so those go on with an empty one. At the first level rows have no number yet.
+        ended = F.col("_next").isNotNull() & (F.length(norm) < start + length - 1) & F.lit(start > 1)
         level = level.withColumn("_state", F.when(F.col("_next").isNull(), 0).when(ended, 1).otherwise(2))
         if drop_text:
             level = level.withColumn(text, F.when(F.col("_state") == 2, F.col(text)))

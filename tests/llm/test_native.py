@@ -96,6 +96,20 @@ def test_radix_dedup(spark):
     assert radix_dedup.exact_dedup(clash).columns == ["doc_id", "text", "source", "_group", "keep_id", "group_size", "kept"]
 
 
+def test_texts_that_end_at_the_border_of_a_level(spark):
+    texts = {}
+    for border in (64, 64 + 512, 64 + 512 + 4096):
+        longer = len(texts)
+        texts |= {longer: "x" * border + " more words", longer + 1: "x" * border, longer + 2: "x" * border, longer + 3: "x" * (border - 1)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for drop_text in (False, True):
+        got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in radix_dedup.exact_dedup(df, drop_text=drop_text).collect()}
+        for i in texts:
+            same = [j for j in texts if texts[j] == texts[i]]
+            assert got[i] == (min(same), len(same), i == min(same))
+    assert sorted(r["doc_id"] for r in radix_dedup.drop_copies(df).collect()) == sorted({t: i for i, t in reversed(texts.items())}.values())
+
+
 def test_digest_column(spark):
     from glossmill.llm import queries
 
