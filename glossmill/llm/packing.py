@@ -38,7 +38,8 @@ _LOADED: dict[str, WordEncoder] = {}
 class WordEncoder:
     """Ids of whole texts from ids of words. The tokenizer drops white space and never joins across it, so that the ids of a
     text are those of its words in order; nor does it join letters with the marks after them, and it lowers letters. So a
-    word is known by its letters and by its marks, and each of these goes through the tokenizer once.
+    word is known by its letters and by its marks, and each of these goes through the tokenizer once. A word that is more
+    than letters when lowered (U+0130 becomes i and a combining dot, which joins the marks) stays whole.
 
     What is known is kept in flat arrays: the ids of entry i end at ends[i]. Entry 0 is empty.
     """
@@ -68,7 +69,7 @@ class WordEncoder:
             return core.lower(), word[len(core) :]
         if len(core) < len(word) and core and not core.isascii():
             text = core.decode()
-            if text.isalpha() and max(text) < _LATIN_END:
+            if text.isalpha() and max(text) < _LATIN_END and text.lower().isalpha():
                 return core, word[len(core) :]
         return word, b""
 
