@@ -11,7 +11,7 @@ be learnt by heart. The model is fitted on at most ``MAX_RATED`` rated texts, ch
 task; it has a fixed size and is sent to all tasks.
 
 Defined cases: a null text is empty and gets the thresholds' own probabilities; rated keys without a text, and texts
-without a rating, are no trouble; a key rated twice counts twice; with no ratings at all every document is kept; repeated
+without a rating, are no trouble; labels that don't decide a grade (see ``grade_of``) are no rating; a key rated twice counts twice; with no ratings at all every document is kept; repeated
 rows get equal results; an empty table gives an empty table; extra columns are kept by ``select_good``, and by ``rate`` but for those called like a result.
 """
 
@@ -105,8 +105,11 @@ def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int = BIT
 
 
 def grade_of(quality: Column, toxic: Column) -> Column:
-    """The graded rating of a pair of labels."""
-    return F.when(toxic > 0, 0).when(quality <= 0, 1).otherwise(2)
+    """The graded rating of a pair of labels; null where they don't decide it, as a label that would is null.
+
+    A toxic text is toxic whatever its quality. Without a toxic label, neither of the other grades is known.
+    """
+    return F.when(toxic > 0, 0).when(toxic.isNull() | quality.isNull(), None).when(quality <= 0, 1).otherwise(2)
 
 
 def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", most: int = MAX_RATED) -> tuple[np.ndarray, np.ndarray]:

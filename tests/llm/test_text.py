@@ -194,6 +194,18 @@ def test_ordinal(spark):
     assert ordinal.select_good(clash, none).columns == clash.columns and ordinal.rate(clash, weights, cuts).count() == 4
 
 
+def test_labels_that_decide_no_grade_are_not_learnt(spark):
+    pairs = [(1, 0, 2), (0, 0, 1), (-1, 0, 1), (1, 1, 0), (0, 1, 0), (None, 1, 0), (None, 0, None), (1, None, None), (0, None, None), (None, None, None)]
+    got = spark.createDataFrame(pairs, "quality int, toxic int, want int").withColumn("grade", ordinal.grade_of(F.col("quality"), F.col("toxic")))
+    assert all(r["grade"] == r["want"] for r in got.collect())
+    texts = docs(spark, [f"{'vile' if i % 2 else 'kind'} words {i}" for i in range(200)])
+    labels = texts.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    unlabelled = labels.select("doc_id", *(F.lit(None).cast("int").alias(c) for c in ("quality", "toxic")))
+    rated = lambda x: x.select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    (w, cuts), (w2, cuts2) = (ordinal.train(texts, rated(x)) for x in (labels, labels.unionByName(unlabelled)))
+    assert np.allclose(w, w2, atol=1e-5) and np.allclose(cuts, cuts2, atol=1e-5)
+
+
 def shingles(t, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
     return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
