@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def by_count(df: DataFrame, order: str, most: int, name: str = "shard_id") -> DataFrame:
@@ -23,20 +27,29 @@ def by_count(df: DataFrame, order: str, most: int, name: str = "shard_id") -> Da
 def by_count_and_bytes(df: DataFrame, order: str, size: str, most: int, most_bytes: int, group: str | None = None, name: str = "shard_id") -> DataFrame:
     """Shard numbers of an ordered fold: a new shard begins where the open one has ``most`` rows or ``most_bytes`` bytes.
 
-    The fold needs its rows in one order, so it runs inside each ``group`` (a writer's share of the samples); with no
-    group all (order, size) pairs are one group, which is right only for manifests that one driver lists.
+    The fold needs its rows in one order, where a shard's begin follows from all rows before it, so one task folds a whole
+    ``group`` (a writer's share of the samples). It streams the sorted rows and holds one batch; the sort spills. With no
+    group all rows are one group, which is right only for manifests that one driver lists.
+
+    Rows of equal order are taken by size, and every row comes back once. Null groups are a group; a null size makes the
+    open shard's bytes unknown, so that it closes by count.
     """
     key = F.col(group) if group else F.lit(0)
-    rows = df.withColumn("_group", key)
-    lists = rows.groupBy("_group").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("items"))
-    state = F.struct(F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("b"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(acc, x):
-        roll = (acc["n"] >= most) | (acc["b"] >= most_bytes)
-        shard = F.when(roll, acc["shard"] + 1).otherwise(acc["shard"])
-        zero = F.lit(0).cast("long")
-        return F.struct(shard.alias("shard"), (F.when(roll, zero).otherwise(acc["n"]) + 1).alias("n"), (F.when(roll, zero).otherwise(acc["b"]) + x["s"]).alias("b"), F.concat(acc["out"], F.array(shard)).alias("out"))
-
-    folded = lists.select("_group", "items", F.aggregate("items", state, step, lambda acc: acc["out"]).alias("ids"))
-    ids = folded.select("_group", F.explode(F.arrays_zip("items", "ids")).alias("z")).select("_group", F.col("z.items.o").alias("_o"), F.col("z.ids").alias(name))
-    return rows.join(ids, (rows["_group"] == ids["_group"]) & (F.col(order) == F.col("_o"))).drop("_group", "_o")
+    rows = df.withColumns({"_group": key, "_bytes": F.col(size).cast("long")})
+    rows = rows.repartition("_group") if group else rows.coalesce(1)
+    names = df.columns
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, shard, n, b = object(), 0, 0, 0
+        for batch in batches:
+            ids = []
+            for g, s in zip(batch.column("_group").to_pylist(), batch.column("_bytes").to_pylist()):
+                if g != last:
+                    last, shard, n, b = g, 0, 0, 0
+                elif n >= most or (b is not None and b >= most_bytes):
+                    shard, n, b = shard + 1, 0, 0
+                n, b = n + 1, None if b is None or s is None else b + s
+                ids.append(shard)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(ids, pa.int64())], [*names, name])
+
+    return rows.sortWithinPartitions("_group", order, "_bytes").mapInArrow(fold, StructType([*df.schema.fields, StructField(name, LongType())]))

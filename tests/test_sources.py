@@ -138,6 +138,23 @@ def test_shards_and_tar(spark, tmp_path):
         assert tar.getnames()[:2] == ["s20.json", "s20.txt"] and os.path.basename(got[2]["path"]) == "shard-000002.tar"
 
 
+def test_repeated_rows_are_folded_once_each(spark):
+    data = [("a", i // 3, 10 + i % 3, f"{i}") for i in range(30)] + [("b", 1, 50, "x")] * 5 + [(None, 1, 5, "y"), (None, None, None, "z"), ("c", 1, None, "u"), ("c", 2, 90, "v")]
+    df = spark.createDataFrame(data, "src string, k long, size long, extra string").repartition(4)
+    got = shards.by_count_and_bytes(df, "k", "size", 4, 40, "src")
+    assert got.columns == [*df.columns, "shard_id"] and sorted(map(repr, got.drop("shard_id").collect())) == sorted(map(repr, df.collect()))
+    want, low = [], lambda x: (x is not None, x or 0)
+    for g in ("a", "b", "c", None):
+        shard, n, b = 0, 0, 0
+        for src, k, size, extra in sorted((r for r in data if r[0] == g), key=lambda r: (low(r[1]), low(r[2]))):
+            if n >= 4 or (b is not None and b >= 40):
+                shard, n, b = shard + 1, 0, 0
+            n, b = n + 1, None if b is None or size is None else b + size
+            want.append((src, k, size, extra, shard))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert shards.by_count_and_bytes(df.limit(0), "k", "size", 4, 40, "src").count() == 0
+
+
 def test_arrays_and_reports(spark, tmp_path):
     np.save(tmp_path / "c1.npy", np.arange(2 * 85 * 4, dtype=np.float32).reshape(2, 340))
     got = documents.landmark_arrays(spark, str(tmp_path)).orderBy("t").collect()
