@@ -29,10 +29,10 @@ from . import arrowtext, scratch
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,-]*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\\-]*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 _PREFIXED = re.compile(r"(?<![A-Za-z0-9_])(?:gh[opsur]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{50,}|glpat-[A-Za-z0-9_-]{20,}|xox[abeoprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{20,})")
-_URL = re.compile(r"(?<=://)[A-Za-z0-9._~-]{1,64}:[^\s:@/'\"]{6,128}(?=@[A-Za-z0-9])")
+_URL = re.compile(r"(?<=://)[A-Za-z0-9._~-]+:[^\s:@/'\"]{6,}(?=@[A-Za-z0-9])")
 KINDS = ("assign", "access", "hex", "pem", "jwt", "prefixed", "url")
 BASE = 3
 #: Owners up to which a value counts as owner-specific.

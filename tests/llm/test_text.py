@@ -128,6 +128,19 @@ def test_secrets(spark):
     assert secrets.masked("abcdef", [(1, 3), (2, 4), (5, 6)], "*") == "a*e*"
 
 
+def test_escaped_keys_and_long_credentials(spark):
+    key = "-----BEGIN PRIVATE KEY-----\\nMIIEvQ/IBA+DAN\\r\\nBgkqhkiG9w==\\n-----END PRIVATE KEY-----"
+    twice = key.replace("\\", "\\\\")
+    user, word = "u" * 300, "p" * 3000
+    texts = [f'{{"key": "{key}\\n"}}', f"x {twice}", f"postgres://{user}:{word}@host/x", f"postgres://{user}:pa55word@host", f"postgres://u:{word}@host", "://" + "z" * 200_000, "://z:" + "y" * 200_000]
+    want = [("pem", key), ("pem", twice), ("url", f"{user}:{word}"), ("url", f"{user}:pa55word"), ("url", f"u:{word}"), None, None]
+    for t, w in zip(texts, want):
+        found = [(secrets.KINDS[k], t[a:b], v) for a, k, b, v in secrets.find(t) if k >= secrets.BASE]
+        assert found == ([(*w, w[1])] if w else [])
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_live(docs(spark, texts), F.col("source"), F.col("source")).collect()}
+    assert all(masked[i] == (t.replace(w[1], "[secret]") if w else t) for i, (t, w) in enumerate(zip(texts, want)))
+
+
 def brute_lm(texts, train, order, mu):
     tok = [[w for w in re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())] + [None] for t in texts]
     c = [Counter() for _ in range(order)]
