@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
-    return lm_score.score_own(lm_score.blocks(docs, held_out))
+    return lm_score.score_own(lm_score.blocks(docs, held_out), order=3)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

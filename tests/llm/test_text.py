@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -175,6 +176,18 @@ def test_automaton_scores_like_the_formula(spark, sample, order):
     assert lm_score.score(empty, lm_score.train(empty)).count() == lm_score.score_own(empty).count() == 0
 
 
+def test_registered_scores_use_two_words_of_context(spark):
+    from glossmill.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    data = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in data]
+    tok, want, total = brute_lm([t for _, t in data], lambda i: not held[i], 3, 50.0)
+    got = {r["doc_id"]: r for r in queries.QUERIES["op1_lm_score"](spark, sf).collect()}
+    for (i, _), w, x in zip(data, tok, want):
+        assert got[i]["score"] == pytest.approx(x, rel=1e-9) and got[i]["n_tokens"] == len(w) and got[i]["train_tokens"] == total
+
+
 def test_probabilities_sum_to_one():
     text = pa.array(["a b a c", "b a", "a b b"])
     grams = lm_score.Grams(*lm_score.tokenised(text), 2)
