@@ -169,7 +169,6 @@ def train(corpus: DataFrame, order: int = 2, bits: int | None = None) -> Model:
     summed = counted.groupBy("bucket").applyInArrow(_summed, "bucket int, k int, hashes binary, counts binary, total long, types long")
     table = scratch.materialise(summed, "lm")
     del counted, summed
-    scratch.release_finished_shuffles(corpus.sparkSession)
     return Model(table, order, bits)
 
 
@@ -336,7 +335,6 @@ def score(corpus: DataFrame, model: Model, kind: str = "long", key: str = "doc_i
     answered = asked.groupBy("bucket").cogroup(model.table.select("bucket", "k", "hashes", "counts").groupBy("bucket")).applyInArrow(_answered, _REPLY)
     replies = scratch.materialise(answered, "lm-replies")
     del asked, answered
-    scratch.release_finished_shuffles(corpus.sparkSession)
     return _finished(corpus, replies, model.order, model.tokens, model.types, kind, key, mu)
 
 
@@ -347,7 +345,6 @@ def score_own(corpus: DataFrame, order: int = 2, kind: str = "long", key: str =
     answered = asked.groupBy("bucket").applyInArrow(_counted_answers, _REPLY)
     replies = scratch.materialise(answered, "lm-replies")
     del asked, answered
-    scratch.release_finished_shuffles(corpus.sparkSession)
     sums = replies.where("_block = -1").select("counts").mapInArrow(_sizes, "n long, v long")
     row = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
     return _finished(corpus, replies.where("_block >= 0"), order, int(row["n"]), int(row["v"]), kind, key, mu)

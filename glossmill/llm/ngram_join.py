@@ -371,7 +371,6 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     facts = scratch.materialise(rows.mapInArrow(_facts(text, n, Sizes(percent, boundary), bits), _FACTS), "shingles")
     met = facts.where("kind = 1").select("bucket", "base", "keys", "refs").groupBy("bucket").applyInArrow(_met, "u long, v long")
     met = scratch.materialise(met.unionByName(facts.where("kind = 2").select(F.col("uid").alias("u"), F.col("base").alias("v"))).distinct(), "met")
-    scratch.release_finished_shuffles(spark)
 
     sets = facts.where("kind = 0").select("uid", "size", "digest")
     several = sets.where("size > 0").groupBy("digest").agg(F.min("uid").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
@@ -385,7 +384,6 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     loaded = rows.join(tasks.hint("merge"), "uid")
     linked = loaded.groupBy("t", "i", "j").applyInArrow(_solve(n, percent, text), "u long, v long")
     linked = scratch.materialise(linked.unionByName(same), "links")
-    scratch.release_finished_shuffles(spark)
 
     groups = connected(linked, "components").select(F.col("node").alias("uid"), "root")
     keys = docs.select("uid", F.col(key))

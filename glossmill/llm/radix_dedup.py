@@ -30,11 +30,11 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def _next_groups(rows: DataFrame, name: str) -> DataFrame:
+def _next_groups(rows: DataFrame, run: scratch.Run) -> DataFrame:
     """Pairs (group, chunk) of two rows or more, numbered, with the row that stays and whether the texts have ended."""
     counted = rows.groupBy("_group", "_chunk").agg(F.count(F.lit(1)).alias("_size"), F.min(F.struct(F.isnull("_id").alias("no_id"), F.col("_id").alias("id"), F.col("_uid").alias("uid"))).alias("_least"))
     counted = counted.where("_size > 1").withColumn("_next", F.monotonically_increasing_id())
-    return scratch.materialise(counted, name)
+    return run.keep(counted, "radix-groups")
 
 
 def _level(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -43,17 +43,17 @@ def _level(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(g.hint("merge"), (rows["_group"] == g["_g"]) & (rows["_chunk"] == g["_c"]), "left").drop("_g", "_c", "_group", "_chunk")
 
 
-def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", first: int = 64, growth: int = 8, drop_text: bool = False) -> DataFrame:
+def exact_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", first: int = 64, growth: int = 8, drop_text: bool = False, run: scratch.Run | None = None) -> DataFrame:
     """df with keep_id, group_size and kept. With drop_text the text is null in the result and isn't carried further than needed.
 
     The number of levels grows with the logarithm of the longest text that has a copy: 64 bytes, then 512, 4 KB, ...
     """
     plain, names = scratch.shielded(df)
-    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", first, growth, drop_text)
+    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", first, growth, drop_text, run or scratch.Run(df.sparkSession))
     return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in RESULTS), *RESULTS)
 
 
-def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_text: bool) -> DataFrame:
+def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_text: bool, run: scratch.Run) -> DataFrame:
     norm = normalised(F.col(text))
     carried = df.columns
     rows = df.withColumn("_id", F.col(key)).withColumn("_uid", F.lit(0).cast("long"))
@@ -61,7 +61,8 @@ def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_tex
     done: list[DataFrame] = []
     start, length = 1, first
     while True:
-        level = _level(rows, _next_groups(rows, "radix-groups"))
+        groups = _next_groups(rows, run)
+        level = _level(rows, groups)
         # A group has ended when its chunk is shorter than asked for; a chunk that is filled may be followed by more text in some
         # rows and by none in others, so those go on with an empty one. At the first level rows have no number yet.
         ended = F.col("_next").isNotNull() & (F.length(norm) < start + length - 1) & F.lit(start > 1)
@@ -69,8 +70,8 @@ def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_tex
         if drop_text:
             level = level.withColumn(text, F.when(F.col("_state") == 2, F.col(text)))
         level = level.withColumn("_uid", F.when(F.lit(start == 1), F.monotonically_increasing_id()).otherwise(F.col("_uid")))
-        level = scratch.materialise(level, "radix-rows")
-        scratch.release_finished_shuffles(df.sparkSession)
+        level = run.keep(level, "radix-rows")
+        run.drop(groups)
         single = level.where("_state = 0")
         done.append(single.select(*carried, F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")))
         if start > 1:
@@ -84,8 +85,8 @@ def _dedup(df: DataFrame, text: str, key: str, first: int, growth: int, drop_tex
     return reduce(DataFrame.unionByName, done)
 
 
-def drop_copies(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_copies(df: DataFrame, text: str = "text", key: str = "doc_id", run: scratch.Run | None = None) -> DataFrame:
     """The rows of df that stay, with df's columns."""
     plain, names = scratch.shielded(df)
-    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", 64, 8, False)
+    out = _dedup(plain, f"c{names.index(text)}", f"c{names.index(key)}", 64, 8, False, run or scratch.Run(df.sparkSession))
     return out.where("kept").select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
