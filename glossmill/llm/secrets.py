@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership frequency (operator 5).
 
-Candidates are found in whole texts by kinds of patterns. The hash of a candidate's value is then counted over the corpus
-by distinct repositories and distinct owners: a value that several owners have is a widely copied example, one that only
-an owner or two have looks like a live credential of theirs.
+Candidates are found in whole texts by kinds of patterns, all linear in the text. The hash of a candidate's value is then
+counted over the corpus by distinct repositories and distinct owners: a value that several owners have, or that is in very
+many repositories, is a widely copied example; one that only an owner or two have, in a few repositories, looks like a live
+credential of theirs.
 
 Counting is two-phased and combines on the map side. The counts come back to the candidates by a join; values that make
 up more than one in ``HOT_SHARE`` of all candidates, of which there can be HOT_SHARE at most, are joined by broadcast, so
@@ -29,17 +30,32 @@ from . import arrowtext, scratch
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\\-]*?-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+_PEM_MARK = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+_PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s:,\\-]*")
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 _PREFIXED = re.compile(r"(?<![A-Za-z0-9_])(?:gh[opsur]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{50,}|glpat-[A-Za-z0-9_-]{20,}|xox[abeoprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{20,})")
 _URL = re.compile(r"(?<=://)[A-Za-z0-9._~-]+:[^\s:@/'\"]{6,}(?=@[A-Za-z0-9])")
 KINDS = ("assign", "access", "hex", "pem", "jwt", "prefixed", "url")
 BASE = 3
-#: Owners up to which a value counts as owner-specific.
-OWNERS = 2
+#: Owners, and repositories of these, up to which a value counts as owner-specific.
+OWNERS, REPOSITORIES = 2, 8
 HOT_SHARE = 1000
 
 
+def _pem(text: str) -> Iterator[tuple[int, int]]:
+    """Spans from a BEGIN to the first END that only a key's characters part from it. Every character is looked at once."""
+    begin, at = None, 0
+    for m in _PEM_MARK.finditer(text):
+        if begin is not None and not _PEM_BODY.fullmatch(text, at, m.start()):
+            begin = None
+        at = m.end()
+        if m[1] == "BEGIN":
+            begin = m.start() if begin is None else begin
+        elif begin is not None:
+            yield begin, at
+            begin = None
+
+
 def find(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind number, end, value) of all spans, by start and kind; code points, end exclusive."""
     spans = [(m.start(), 0, m.end(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -47,7 +63,7 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
         spans += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
     if "PRIVATE KEY-----" in text:
-        spans += [(m.start(), 3, m.end(), m[0]) for m in _PEM.finditer(text)]
+        spans += [(a, 3, b, text[a:b]) for a, b in _pem(text)]
     if "eyJ" in text:
         spans += [(m.start(), 4, m.end(), m[0]) for m in _JWT.finditer(text)]
     if "_" in text or "-" in text:
@@ -97,25 +113,29 @@ def _with_counts(candidates: DataFrame, counts: DataFrame) -> DataFrame:
     return on_hot.where("seen is not null").unionByName(cold.join(counts, "value", "left"))
 
 
-def judge(df: DataFrame, repository: Column, owner: Column, text: str = "text", owners: int = OWNERS) -> DataFrame:
+RESULTS = ("found", "live", "most_owners", "most_repositories")
+
+
+def judge(df: DataFrame, repository: Column, owner: Column, text: str = "text", owners: int = OWNERS, repositories: int = REPOSITORIES, run: scratch.Run | None = None) -> DataFrame:
     """df's rows without text, with found (all spans) and live (their numbers in found that look owner-specific).
 
     Rows get a number of their own before the corpus is counted, so that no column needs to be unique.
     """
-    named = df.withColumns({"_repository": repository.cast("string"), "_owner": owner.cast("string")})
-    named = named.drop(*(c for c in df.columns if c in ("found", "live", "_row", "most_owners", "most_repositories")))
-    rows = scan(named, text).withColumn("_row", F.monotonically_increasing_id())
-    rows = scratch.materialise(rows, "secrets")
-    counts = scratch.materialise(ownership(rows, F.col("_repository"), F.col("_owner")), "owners")
-    rows = rows.drop("_repository", "_owner")
+    run = run or scratch.Run(df.sparkSession)
+    plain, names = scratch.shielded(df.select("*", repository.cast("string").alias("repository"), owner.cast("string").alias("owner")))
+    names, repository, owner = names[:-2], F.col(f"c{len(names) - 2}"), F.col(f"c{len(names) - 1}")
+    rows = run.keep(scan(plain, f"c{names.index(text)}").withColumn("_row", F.monotonically_increasing_id()), "secrets")
+    counts = run.keep(ownership(rows, repository, owner), "owners")
     candidates = rows.select("_row", F.posexplode("found").alias("at", "span")).select("_row", "at", F.col("span.value").alias("value"))
     known = _with_counts(candidates, counts)
+    specific = (F.col("owners") <= owners) & (F.col("repositories") <= repositories)
     of_row = known.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.when(F.col("owners") <= owners, F.col("at")))).alias("live"),
+        F.sort_array(F.collect_list(F.when(specific, F.col("at")))).alias("live"),
         F.max("owners").cast("long").alias("most_owners"),
         F.max("repositories").cast("long").alias("most_repositories"),
     )
-    return rows.join(of_row, "_row", "left").withColumn("live", F.coalesce("live", F.array().cast("array<int>")))
+    out = rows.join(of_row, "_row", "left").withColumn("live", F.coalesce("live", F.array().cast("array<int>")))
+    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n != text and n not in RESULTS), *RESULTS)
 
 
 def digests(judged: DataFrame, key: str) -> DataFrame:
@@ -148,17 +168,18 @@ def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def mask_live(df: DataFrame, repository: Column, owner: Column, text: str = "text", owners: int = OWNERS, mask: str = "[secret]") -> DataFrame:
+def mask_live(df: DataFrame, repository: Column, owner: Column, text: str = "text", owners: int = OWNERS, mask: str = "[secret]", run: scratch.Run | None = None) -> DataFrame:
     """df with every owner-specific candidate replaced by the mask; all rows stay, with all their columns.
 
     The set of owner-specific values is joined to the texts' spans, not to the texts: the rows are written once with
     their spans and read back for masking.
     """
-    plain, names = scratch.shielded(df.withColumns({"_repository": repository, "_owner": owner}))
+    run = run or scratch.Run(df.sparkSession)
+    plain, names = scratch.shielded(df.select("*", repository.alias("repository"), owner.alias("owner")))
     names, text = names[:-2], f"c{names.index(text)}"
-    numbered = scratch.materialise(plain.withColumn("_key", F.monotonically_increasing_id()), "masking")
+    numbered = run.keep(plain.withColumn("_key", F.monotonically_increasing_id()), "masking")
     own = [F.col(f"c{len(names) + i}") for i in (0, 1)]
-    judged = judge(numbered.select("_key", text, *own), *own, text, owners)
+    judged = judge(numbered.select("_key", text, *own), *own, text, owners, run=run)
     live = judged.where(F.size("live") > 0).select(F.col("_key").alias("_r"), F.transform("live", lambda i: F.get("found", i)).alias("_spans"))
     joined = numbered.join(live, numbered["_key"] == live["_r"], "left")
     columns = [f"c{n}" for n in range(len(names))]
