@@ -67,6 +67,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def loss(p: np.ndarray, row: np.ndarray, feature: np.ndarray, grade: np.ndarray, size: int, decay: float) -> tuple[float, np.ndarray]:
+    """Mean negative log likelihood of the grades, with decay of the weights, and its gradient. p holds ``size`` weights, the
+    first threshold and the logarithms of the steps to the next ones."""
+    n = len(grade)
+    cuts = np.concatenate([[-np.inf], p[size] + np.concatenate([[0.0], np.cumsum(np.exp(p[size + 1 :]))]), [np.inf]])
+    score = np.bincount(row, weights=p[feature], minlength=n)
+    with np.errstate(over="ignore"):
+        high, low = _sigmoid(cuts[grade + 1] - score), _sigmoid(cuts[grade] - score)
+    prob = np.maximum(high - low, 1e-9)
+    d_high, d_low = high * (1 - high) / prob, low * (1 - low) / prob
+    g_score = (d_high - d_low) / n
+    g = np.zeros_like(p)
+    g[:size] = np.bincount(feature, weights=g_score[row], minlength=size) + decay * p[:size]
+    g_cut = np.array([(-(d_high[grade == k].sum()) + d_low[grade == k + 1].sum()) / n for k in range(GRADES - 1)])
+    g[size] = g_cut.sum()
+    for j in range(GRADES - 2):
+        g[size + 1 + j] = g_cut[j + 1 :].sum() * np.exp(p[size + 1 + j])
+    return float(-np.log(prob).mean() + decay / 2 * (p[:size] ** 2).sum()), g
+
+
 def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int = BITS, rounds: int = 150, rate: float = 0.1, least: int = 3, evidence: float = 20.0, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by Adam on the whole sample. Features of fewer than ``least`` texts, or with a likelihood ratio
     below ``evidence``, get no weight."""
@@ -86,19 +106,7 @@ def fit(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int = BIT
     p = np.concatenate([np.zeros(size), first[:1], steps])
     m, v = np.zeros_like(p), np.zeros_like(p)
     for t in range(1, rounds + 1 if n else 0):
-        cuts = np.concatenate([[-np.inf], p[size] + np.concatenate([[0.0], np.cumsum(np.exp(p[size + 1 :]))]), [np.inf]])
-        score = np.bincount(row, weights=p[feature], minlength=n)
-        with np.errstate(over="ignore"):
-            high, low = _sigmoid(cuts[grade + 1] - score), _sigmoid(cuts[grade] - score)
-        prob = np.maximum(high - low, 1e-9)
-        d_high, d_low = high * (1 - high) / prob, low * (1 - low) / prob
-        g_score = (d_high - d_low) / n  # of the negative log likelihood
-        g = np.zeros_like(p)
-        g[:size] = np.bincount(feature, weights=g_score[row], minlength=size) + decay * p[:size]
-        g_cut = np.array([(-(d_high[grade == k].sum()) + d_low[grade == k + 1].sum()) / n for k in range(GRADES - 1)])
-        g[size] = g_cut.sum()
-        for j in range(GRADES - 2):
-            g[size + 1 + j] = g_cut[j + 1 :].sum() * np.exp(p[size + 1 + j])
+        _, g = loss(p, row, feature, grade, size, decay)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return p[:size].astype(np.float32), p[size] + np.concatenate([[0.0], np.cumsum(np.exp(p[size + 1 :]))])
@@ -112,17 +120,19 @@ def grade_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic > 0, 0).when(toxic.isNull() | quality.isNull(), None).when(quality <= 0, 1).otherwise(2)
 
 
-def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", most: int = MAX_RATED) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds from ratings (key, grade). At most ``most`` ratings are used, so that they may be broadcast."""
+def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", most: int = MAX_RATED, run: scratch.Run | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds from ratings (key, grade). At most ``most`` ratings are used, so that they may be broadcast; and at
+    most as many rated texts, where texts share a key."""
+    run = run or scratch.Run(docs.sparkSession)
     sample = ratings.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).select(F.col(key).alias("_k"), F.col(grade).cast("int").alias("_g"))
-    sample = scratch.materialise(sample.orderBy(F.xxhash64("_k"), "_k", "_g").limit(most), "rated")
-    rated = docs.select(F.col(key), F.col(text)).join(F.broadcast(sample), F.col(key) == F.col("_k")).select(text, "_g")
+    sample = run.keep(sample.orderBy(F.xxhash64("_k"), "_k", "_g").limit(most), "rated")
+    rated = docs.select(F.col(key), F.col(text)).join(F.broadcast(sample), F.col(key) == F.col("_k")).select(F.col(text).alias("text"), "_g", F.xxhash64("_k", text).alias("_h"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrowtext.slices(batches, text):
-            row, feature = features(arrowtext.texts(batch, text))
+        for batch in arrowtext.slices(batches, "text"):
+            row, feature = features(arrowtext.texts(batch, "text"))
             cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column("_g"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature, pa.int32()))], ["grade", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column("_g"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature, pa.int32())), batch.column("_h")], ["grade", "features", "_h"])
 
     def fitted(table: pa.Table) -> pa.Table:
         lists = table.column("features").combine_chunks()
@@ -133,7 +143,7 @@ def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str =
         w, cuts = fit(rank[parents], lists.flatten().to_numpy().astype(np.int64), grades[by])
         return pa.table({"w": pa.array([w.tobytes()], pa.binary()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
 
-    lists = rated.mapInArrow(listed, "grade int, features array<int>")
+    lists = rated.mapInArrow(listed, "grade int, features array<int>, _h long").orderBy("_h", "grade").limit(most)
     found = lists.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lambda t: fitted(t), "w binary, cuts array<double>").collect()
     if not found:
         return np.zeros(1 << BITS, np.float32), np.array([-20.0, -19.0])
@@ -156,9 +166,9 @@ def rate(docs: DataFrame, weights: np.ndarray, cuts: np.ndarray, text: str = "te
     return docs.mapInArrow(run, schema)
 
 
-def select_good(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", tail: float = 0.5) -> DataFrame:
+def select_good(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", tail: float = 0.5, run: scratch.Run | None = None) -> DataFrame:
     """The rows of docs whose tail probability reaches ``tail``, with docs's columns."""
-    weights, cuts = train(docs, ratings, key, text)
+    weights, cuts = train(docs, ratings, key, text, run=run)
     plain, names = scratch.shielded(docs)
     rated = rate(plain, weights, cuts, f"c{names.index(text)}").where(F.col("tail_prob") >= tail)
     return rated.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
