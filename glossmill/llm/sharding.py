@@ -4,18 +4,20 @@ The shard of a row follows from its key and the number of shards alone: there is
 shard, a row stays or moves into the new shard. Everything is a Spark expression.
 
 Defined cases: a null key counts as key 0; rows that share a key share a shard; an empty table gives an empty table;
-other columns of the input are kept by ``assign_shards``, and one called like a result is replaced by it.
+other columns of the input are kept, and one called like a result is replaced by it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import scratch
 
 # Fixed values of the published jump hash: multiplier of its 64-bit generator.
 MULTIPLIER = 2862933555777941757
+#: Rows of a cell in which slots are numbered.
+CELL_ROWS = 100_000
 
 
 def _limbs(key: Column) -> list[Column]:
@@ -63,20 +65,22 @@ def assign_shards(df: DataFrame, key: str, n_shards: int, shard: str = "shard",
     return df.withColumns(results)
 
 
-def number_slots(df: DataFrame, shard: str, cells: int = 256, slot: str = "slot") -> DataFrame:
+def number_slots(df: DataFrame, shard: str, cell_rows: int = CELL_ROWS, slot: str = "slot", run: scratch.Run | None = None) -> DataFrame:
     """Gapless numbers from 0 in every shard; rows of df that are equal in all columns are interchangeable.
 
-    No shard is sorted in one task. Equal rows are counted first, on the map side too. The rest is dealt into
-    ``cells`` cells of each shard by a hash of the row; a cell's first number comes from the sums of the cells before
-    it, a table of shards x cells rows, which is broadcast. Raise ``cells`` with the rows per shard.
+    No shard is sorted in one task. Its rows are dealt at random into cells, as many as give a cell about ``cell_rows``, and
+    written; a cell numbers its own rows, from the sum of the cells before it. Neither a shard that has most of the rows nor
+    a row that is repeated very often makes a large cell. The only shuffle of the rows is that into cells.
     """
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_cell", F.pmod(F.xxhash64(*columns), F.lit(cells)).cast("int"))
-    counted = scratch.materialise(counted, "slots")
-    sums = counted.groupBy(shard, "_cell").agg(F.sum("_n").alias("_rows"))
-    before = sums.selectExpr(f"`{shard}`", "_cell", f"coalesce(sum(_rows) over (partition by `{shard}` order by _cell rows between unbounded preceding and 1 preceding), 0) as _first")
-    order = ", ".join(f"`{c}`" for c in columns)
-    inside = counted.selectExpr("*", f"coalesce(sum(_n) over (partition by `{shard}`, _cell order by {order} rows between unbounded preceding and 1 preceding), 0) as _inside")
-    joined = inside.join(F.broadcast(before), [shard, "_cell"])
-    return joined.select(*columns, F.explode(F.sequence(F.col("_first") + F.col("_inside"), F.col("_first") + F.col("_inside") + F.col("_n") - 1)).alias(slot))
+    run = run or scratch.Run(df.sparkSession)
+    plain, names = scratch.shielded(df)
+    key = f"c{names.index(shard)}"
+    most = plain.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    cells = max(1, -(-most // cell_rows))
+    dealt = run.keep(plain.withColumn("cell", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(cells))), "slots")
+    rows = dealt.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.select(key, "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    inside = Window.partitionBy(key, "cell").orderBy(*(c for c in plain.columns))
+    out = dealt.withColumn("inside", F.row_number().over(inside)).join(before, [key, "cell"])
+    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n != slot), (F.col("first") + F.col("inside") - 1).alias(slot))

@@ -31,7 +31,7 @@ def test_jump_hash_is_the_published_one(spark):
 
 def test_shards_grow_into_the_new_one_only(spark):
     df = spark.createDataFrame([(i % 700 if i % 3 else None, i % 5) for i in range(3000)], "doc_id long, size int")
-    out = sharding.number_slots(sharding.assign_shards(df, "doc_id", 24, "shard", "grown"), "shard", cells=4).collect()
+    out = sharding.number_slots(sharding.assign_shards(df, "doc_id", 24, "shard", "grown"), "shard", cell_rows=40).collect()
     assert len(out) == 3000 and all(r["grown"] in (r["shard"], 24) for r in out) and any(r["grown"] == 24 for r in out)
     for s in range(24):
         slots = sorted(r["slot"] for r in out if r["shard"] == s)
