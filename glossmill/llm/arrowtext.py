@@ -32,15 +32,16 @@ def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
 
 def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words in UTF-8, the codes of all words in order, and the words of each text. Words are runs without ASCII
-    white space, which is what bytes.split parts at; A-Z are lowered, which is what bytes.lower does."""
-    known: dict[bytes, int] = {}
-    number, codes, counts = known.setdefault, [], []
-    for t in text.to_pylist():
-        raw = t.encode()
-        found = (raw.lower() if lower else raw).split()
-        codes.append(np.array([number(w, len(known)) for w in found], np.int64))
-        counts.append(len(found))
-    return list(known), np.concatenate(codes) if codes else np.zeros(0, np.int64), np.array(counts, np.int64)
+    white space; A-Z are lowered."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
+    counts, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    blank = pc.equal(pc.binary_length(flat), 0)  # before and after white space at the ends
+    if pc.any(blank).as_py():
+        at = np.repeat(np.arange(len(counts)), counts)
+        counts = counts - np.bincount(at[blank.to_numpy(zero_copy_only=False)], minlength=len(counts))
+        flat = flat.filter(pc.invert(blank))
+    coded = flat.dictionary_encode()
+    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -98,3 +99,12 @@ def unpack_small(data: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def pack_bytes(values: np.ndarray) -> bytes:
+    """Numbers below 256."""
+    return zstandard.compress(values.tobytes(), 1)
+
+
+def unpack_bytes(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint8)
