@@ -3,25 +3,31 @@
 Components become integers floor(scale * x). A score is the inner product; it is the sum of partial scores over slices
 of the dimensions, one list for each slice.
 
-1. Every partition gathers, for each query and list, its highest partial scores, with the full scores of these entries.
-   The k-th highest full score of all that was gathered is a safe cutoff: the answer has no lower score.
-2. The cutoff is broadcast. An entry can reach it only if some partial score reaches cutoff / lists, so that each list
-   gives its entries from there on and all others are left out.
-3. Of these entries the remaining partial scores are resolved, exactly; those at the cutoff or above compete.
+1. Every partition gathers the ends of its local lists: of each component the entries that are highest and lowest, whatever
+   the queries. These few are scored in full. The k-th highest score of a partition's entries is one that k entries reach,
+   so the highest such number over all partitions is a safe cutoff: the answer has no lower score.
+2. The cutoff is broadcast. Lists are then collected one after another. An entry can reach the cutoff only if some list
+   gives it cutoff / lists or more; hence once the lists seen so far, with the most that the others can give it (the product
+   of the norms), don't make up the cutoff, the entry is left out of all further lists.
+3. Of the entries that are left the remaining partial scores are resolved, exactly; those at the cutoff or above compete. A
+   task raises its cutoff when it has found k better ones.
 
 Queries are taken in blocks of at most ``query_block`` rows, so that what is broadcast has a fixed bound, against all
-candidates. A partition returns k entries for each query at most, ties included, whatever the number of equal vectors.
+candidates; a block costs two scans. A partition returns k entries for each query at most, ties included, whatever the
+number of equal vectors.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null id, take no part;
 missing components of a shorter vector count as 0; a candidate with the query's own id is left out; ties go to the
 smaller id; repeated candidate rows compete each; equal query rows are one query; sums are exact whatever the size of
-the components, and scores beyond a long are held at its ends and rank as such; an empty table gives an empty table.
+the components, and scores beyond a long are held at its ends and rank as such; an empty table gives an empty table;
+only the first two columns are read, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +37,13 @@ from pyspark.sql import functions as F
 from . import scratch
 
 SCHEMA = "query_id long, rank int, vec_id long, score long"
-ROWS = 2048  # candidates that a task holds as a matrix
+#: Candidates and queries that are multiplied at once.
+ROWS, TILE = 2048, 512
+#: Rows of a partition for each one that is scored in phase 1.
+ENDS = 16
+#: The share of pairs up to which the next list is computed pair by pair.
+SPARSE = 0.125
+_LOW = -(2**63)
 
 
 def integers(batch: pa.RecordBatch, scale: float) -> tuple[np.ndarray, np.ndarray]:
@@ -56,132 +68,138 @@ def _wide(m: np.ndarray, d: int) -> np.ndarray:
     return m[:, :d] if m.shape[1] >= d else np.pad(m, ((0, 0), (0, d - m.shape[1])))
 
 
-def _partials(q: np.ndarray, v: np.ndarray, bounds: list[tuple[int, int]]) -> list[np.ndarray]:
-    """Partial scores of each list, queries by candidates; doubles where these are exact, else Python's integers."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1])
-    if most < 2**53:
-        return [q[:, a:b] @ v[:, a:b].T for a, b in bounds]
+def _exact(q: np.ndarray, v: np.ndarray) -> bool:
+    """Whether doubles hold all sums."""
+    return float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1]) < 2**53
+
+
+def _whole(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """All scores, as longs; those beyond a long are held at its ends."""
+    if _exact(q, v):
+        return (q @ v.T).astype(np.int64)
     whole = np.frompyfunc(int, 1, 1)
-    return [np.dot(whole(q[:, a:b]), whole(v[:, a:b].T)) if b > a else np.zeros((len(q), len(v)), object) for a, b in bounds]
+    held = np.frompyfunc(lambda x: max(_LOW, min(2**63 - 1, int(x))), 1, 1)
+    return held(np.dot(whole(q), whole(v.T))).astype(np.int64).reshape(len(q), len(v)) if q.shape[1] else np.zeros((len(q), len(v)), np.int64)
+
+
+def reached(q: np.ndarray, v: np.ndarray, cut: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """All pairs (query, candidate) whose score reaches the query's cutoff, their scores, and the multiplications it took."""
+    n, d = len(q) * len(v), q.shape[1]
+    if not _exact(q, v) or not d:
+        scores = _whole(q, v)
+        a, b = np.nonzero(scores >= cut[:, None])
+        return a, b, scores[a, b], n * d
+    ends = [d * j // lists for j in range(1, lists + 1)]
+    most = [(np.linalg.norm(q[:, e:], axis=1) * (1 + 1e-9), np.linalg.norm(v[:, e:], axis=1)) for e in ends]
+    floor = cut.astype(np.float64) * (1 - 2e-16 * np.sign(cut)) - 1  # rounded down
+    sums, done, cost = q[:, : ends[0]] @ v[:, : ends[0]].T, ends[0], n * ends[0]
+    a, b = np.nonzero(sums + most[0][0][:, None] * most[0][1][None, :] >= floor[:, None])
+    for j in range(1, lists):
+        span = slice(done, ends[j])
+        if len(a) > SPARSE * n:  # nearly all are left: one product
+            sums += q[:, span] @ v[:, span].T
+            cost += n * (ends[j] - done)
+            left = sums[a, b]
+        else:
+            left = sums[a, b] + np.einsum("ij,ij->i", q[a, span], v[b, span])
+            sums[a, b] = left
+            cost += len(a) * (ends[j] - done)
+        done = ends[j]
+        high = left + most[j][0][a] * most[j][1][b] >= floor[a]
+        a, b = a[high], b[high]
+    scores = sums[a, b].astype(np.int64)
+    high = scores >= cut[a]
+    return a[high], b[high], scores[high], cost
 
 
-def _clip(x) -> int:
-    return max(-(2**63), min(2**63 - 1, int(x)))
+def _wide(m: np.ndarray, d: int) -> np.ndarray:
+    return m[:, :d] if m.shape[1] >= d else np.pad(m, ((0, 0), (0, d - m.shape[1])))
 
 
 class _Best:
-    """The k best (score, id) of each query."""
+    """The k best (score, id) of each query, and the cutoffs that follow."""
 
-    def __init__(self, queries: int, k: int):
-        self.k, self.held = k, [[] for _ in range(queries)]
+    def __init__(self, cut: np.ndarray, k: int):
+        self.k, self.cut = k, cut.copy()
+        self.of, self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def offer(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        if len(scores) > self.k:
-            cut = np.sort(scores)[-self.k]
-            over = scores > cut
-            level = np.flatnonzero(scores == cut)
-            level = level[np.argsort(ids[level], kind="stable")][: self.k - int(over.sum())]
-            pick = np.concatenate([np.flatnonzero(over), level])
-            scores, ids = scores[pick], ids[pick]
-        held = self.held[q] + [(-int(s), int(i)) for s, i in zip(scores, ids)]
-        held.sort()
-        self.held[q] = held[: self.k]
+    def offer(self, of: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        of, scores, ids = np.concatenate([self.of, of]), np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        by = np.lexsort((ids, ~scores, of))  # ~x falls as x rises, without overflow
+        of, scores, ids = of[by], scores[by], ids[by]
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        last = place == self.k - 1
+        self.cut[of[last]] = np.maximum(self.cut[of[last]], scores[last])
+        keep = place < self.k
+        self.of, self.scores, self.ids = of[keep], scores[keep], ids[keep]
 
 
-def _gather(block_ids: np.ndarray, block: np.ndarray, bounds, k: int, scale: float):
+def _matrices(batches: Iterator[pa.RecordBatch], d: int, scale: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            ids, v = integers(batch.slice(at, ROWS), scale)
+            if len(ids):
+                yield ids, _wide(v, d)
+
+
+def _cutoffs(query_ids: np.ndarray, queries: np.ndarray, k: int, scale: float):
+    """Phase 1: for each query the k-th highest score among the entries at the ends of the partition's lists."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: list[list[tuple]] | None = None
-        held = {}  # (query, list) -> partial scores, full scores, both of the k highest
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                ids, v = integers(batch.slice(at, ROWS), scale)
-                if not len(ids):
-                    continue
-                parts = _partials(block, _wide(v, block.shape[1]), bounds)
-                total = sum(parts)
-                own = block_ids[:, None] == ids[None, :]
-                for j, s in enumerate(parts):
-                    n = min(k + 1, s.shape[1])
-                    top = np.argpartition(s, s.shape[1] - n, axis=1)[:, -n:] if s.dtype != object else np.argsort(s, axis=1)[:, -n:]
-                    for q in range(len(block_ids)):
-                        pick = top[q][~own[q, top[q]]]
-                        old = held.get((q, j), [])
-                        old = old + [(s[q, c], total[q, c], at_row) for c, at_row in zip(pick, ids[pick])]
-                        if len(old) > k:
-                            old.sort(key=lambda x: -x[0])
-                            old = old[:k]
-                        held[q, j] = old
-        del lists
-        rows: dict[int, dict] = {}
-        for (q, _), entries in held.items():
-            for _, t, i in entries:
-                rows.setdefault(q, {}).setdefault((int(i), int(t)), None)
-        out = [(q, sorted((_clip(t) for _, t in found), reverse=True)[:k]) for q, found in rows.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([q for q, _ in out], pa.int32()), pa.array([t for _, t in out], pa.list_(pa.int64()))], ["q", "totals"])
+        d = queries.shape[1]
+        best, rows = _Best(np.full(len(query_ids), _LOW), k), 0
+        for ids, v in _matrices(batches, d, scale):
+            rows += len(ids)
+            each = max(1, len(ids) // (2 * max(1, d) * ENDS))  # entries of an end
+            ends = np.argpartition(v, [min(each, len(v)) - 1, max(0, len(v) - each)], axis=0) if d else np.zeros((len(v), 0), np.int64)
+            some = np.unique(np.concatenate([ends[:each].ravel(), ends[-each:].ravel()]))[: max(k + 1, len(ids) // ENDS)]
+            for at in range(0, len(queries), TILE):
+                scores = _whole(queries[at : at + TILE], v[some])
+                a, b = np.nonzero((scores > best.cut[at : at + TILE, None]) & (query_ids[at : at + TILE, None] != ids[some][None, :]))
+                best.offer(a + at, scores[a, b], ids[some][b])
+        found = np.flatnonzero(best.cut > _LOW)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(best.cut[found], pa.int64())], ["q", "cut"])
 
     return run
 
 
-def _resolve(block_ids: np.ndarray, block: np.ndarray, cutoff: list[int | None], bounds, k: int, scale: float):
+def _resolved(query_ids: np.ndarray, queries: np.ndarray, cut: np.ndarray, k: int, lists: int, scale: float):
+    """Phases 2 and 3: the k best of a partition's entries that reach the cutoffs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, m = _Best(len(block_ids), k), len(bounds)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                ids, v = integers(batch.slice(at, ROWS), scale)
-                if not len(ids):
-                    continue
-                parts = _partials(block, _wide(v, block.shape[1]), bounds)
-                for q, cut in enumerate(cutoff):
-                    enough = ids != block_ids[q]
-                    if cut is not None:
-                        reach = np.zeros(len(ids), bool)
-                        for s in parts:  # partial >= cutoff / lists, in integers
-                            reach |= s[q] * m >= cut
-                        enough &= reach
-                    some = np.flatnonzero(enough)
-                    if not len(some):
-                        continue
-                    total = sum(s[q, some] for s in parts)
-                    if cut is not None:
-                        high = total >= cut
-                        some, total = some[high], total[high]
-                    if len(some):
-                        best.offer(q, np.array([_clip(t) for t in total], object) if total.dtype == object else total, ids[some])
-        out = [(int(block_ids[q]), q, i, _clip(-s)) for q, held in enumerate(best.held) for s, i in held]
-        columns = list(zip(*out)) if out else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], ["query_id", "q", "vec_id", "score"])
+        best = _Best(cut, k)
+        for ids, v in _matrices(batches, queries.shape[1], scale):
+            for at in range(0, len(queries), TILE):
+                a, b, scores, _ = reached(queries[at : at + TILE], v, best.cut[at : at + TILE], lists)
+                other = query_ids[at + a] != ids[b]
+                if other.any():
+                    best.offer(at + a[other], scores[other], ids[b[other]])
+        yield pa.RecordBatch.from_arrays([pa.array(query_ids[best.of], pa.int64()), pa.array(best.of, pa.int32()), pa.array(best.ids, pa.int64()), pa.array(best.scores, pa.int64())], ["query_id", "q", "vec_id", "score"])
 
     return run
 
 
-def exact_top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0, lists: int = 4, query_block: int = 1024) -> DataFrame:
+def exact_top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0, lists: int = 4, query_block: int = 16384, run: scratch.Run | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score). Both inputs have an id and a vector as their first two columns."""
-    spark = candidates.sparkSession
+    spark, run = candidates.sparkSession, run or scratch.Run(candidates.sparkSession)
     candidates = candidates.select(*candidates.columns[:2])
     queries = queries.select(F.col(queries.columns[0]).alias("id"), F.col(queries.columns[1]).alias("vector")).where("id is not null").distinct()
+    queries = run.keep(queries, "queries")
     n = queries.count()
-    blocks = max(1, math.ceil(n / query_block))
-    queries = scratch.materialise(queries.withColumn("block", F.pmod(F.xxhash64("id", "vector"), F.lit(blocks))), "queries") if n else queries
+    blocks = math.ceil(n / query_block)
+    block = F.pmod(F.xxhash64("id", "vector"), F.lit(max(1, blocks)))
     found = []
-    for b in range(blocks if n else 0):
-        table = queries.where(F.col("block") == b).orderBy("id").select("id", "vector").toArrow()  # about query_block rows
-        for batch in table.combine_chunks().to_batches():
-            block_ids, block = integers(batch, scale)
-            if not len(block_ids):
-                continue
-            d = block.shape[1]
-            bounds = [(d * j // lists, d * (j + 1) // lists) for j in range(lists)]
-            gathered = candidates.mapInArrow(_gather(block_ids, block, bounds, k, scale), "q int, totals array<long>")
-            gathered = gathered.groupBy("q").agg(F.get(F.sort_array(F.flatten(F.collect_list("totals")), asc=False), F.lit(k - 1)).alias("cut"))
-            cutoff: list[int | None] = [None] * len(block_ids)
-            for row in gathered.collect():  # one number for each query of the block
-                cutoff[row["q"]] = None if row["cut"] == -(2**63) else row["cut"]  # all that lies below is held there
-            resolved = candidates.mapInArrow(_resolve(block_ids, block, cutoff, bounds, k, scale), "query_id long, q int, vec_id long, score long")
-            order = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
-            top = resolved.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            top = top.select("query_id", "rank", "vec_id", "score")
-            found.append(scratch.materialise(top, "topk") if blocks > 1 else top)
-    out = found[0] if found else spark.createDataFrame([], SCHEMA)
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    for b in range(blocks):
+        table = queries.where(block == b).orderBy("id").toArrow()  # about query_block rows
+        query_ids, matrix = integers(table.combine_chunks().to_batches()[0], scale) if table.num_rows else (np.zeros(0, np.int64), None)
+        if not len(query_ids):
+            continue
+        cuts = candidates.mapInArrow(_cutoffs(query_ids, matrix, k, scale), "q int, cut long").groupBy("q").agg(F.max("cut").alias("cut"))
+        cut = np.full(len(query_ids), _LOW)
+        for row in cuts.collect():  # one number for each query of the block
+            cut[row["q"]] = row["cut"]
+        best = candidates.mapInArrow(_resolved(query_ids, matrix, cut, k, lists, scale), "query_id long, q int, vec_id long, score long")
+        order = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
+        top = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found.append(run.keep(top, "topk") if blocks > 1 else top)
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], SCHEMA)
