@@ -142,6 +142,26 @@ def test_escaped_keys_and_long_credentials(spark):
     assert all(masked[i] == (t.replace(w[1], "[secret]") if w else t) for i, (t, w) in enumerate(zip(texts, want)))
 
 
+def test_markers_without_an_end_and_runs_of_starts_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert secrets.find("-----BEGIN PRIVATE KEY-----\n" * 10_000) == []
+    assert secrets.find("eyJ" * 100_000) == [] and secrets.find("-----BEGIN " + "A " * 100_000) == []
+    assert time.perf_counter() - began < 2
+    marks = "-----BEGIN A PRIVATE KEY-----\nAA\n? -----BEGIN PRIVATE KEY-----\nBB\n-----END PRIVATE KEY-----"
+    assert [marks[a:b] for a, k, b, _ in secrets.find(marks) if k == 3] == [marks[marks.index("?") + 2 :]]
+
+
+def test_many_repositories_make_a_value_widely_copied(spark):
+    texts = [f"password=verysecret{i // 12}" for i in range(24)]
+    df = spark.createDataFrame([(i, t, "me", f"repo{i if i < 12 else 0}", "mine") for i, t in enumerate(texts)], "doc_id long, text string, owner string, repository string, _repository string")
+    judged = secrets.judge(df, F.col("repository"), F.col("owner"))
+    assert judged.columns == ["doc_id", "owner", "repository", "_repository", *secrets.RESULTS]
+    live = {r["doc_id"]: (len(r["live"]), r["most_repositories"], r["_repository"]) for r in judged.collect()}
+    assert live == {i: (0, 12, "mine") if i < 12 else (1, 1, "mine") for i in range(24)}
+
+
 def brute_lm(texts, train, order, mu):
     tok = [[w for w in re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())] + [None] for t in texts]
     c = [Counter() for _ in range(order)]
@@ -201,6 +221,48 @@ def test_probabilities_sum_to_one():
     assert after == pytest.approx(1)
 
 
+def test_gradient_of_the_ordinal_loss():
+    rng = np.random.default_rng(2)
+    size, n = 6, 40
+    row, feature = np.divmod(np.flatnonzero(rng.random((n, size)) < 0.4), size)
+    grade, p = rng.integers(0, 3, n), np.concatenate([rng.normal(size=size), [-0.4], [0.1]])
+
+    def brute(p):
+        cuts, total = [p[size], p[size] + math.exp(p[size + 1])], 0.0
+        for i in range(n):
+            s = sum(p[f] for r, f in zip(row, feature) if r == i)
+            below = [0.0, *(1 / (1 + math.exp(s - c)) for c in cuts), 1.0]
+            total -= math.log(below[grade[i] + 1] - below[grade[i]])
+        return total / n + 0.05 * sum(x * x for x in p[:size])
+
+    value, gradient = ordinal.loss(p, row, feature, grade, size, 0.1)
+    assert value == pytest.approx(brute(p))
+    for j in range(len(p)):
+        step = np.zeros(len(p))
+        step[j] = 1e-6
+        assert gradient[j] == pytest.approx((brute(p + step) - brute(p - step)) / 2e-6, abs=1e-6)
+
+
+def test_fit_reaches_the_least_loss():
+    rng = np.random.default_rng(3)
+    n = 300
+    has = rng.random((n, 4)) < 0.5
+    grade = np.clip(np.round(has @ np.array([1.5, -1.5, 0.8, 0]) + 1 + 0.5 * rng.normal(size=n)), 0, 2).astype(np.int64)
+    row, feature = np.nonzero(has)
+    w, cuts = ordinal.fit(row, feature, grade, bits=2, rounds=4000, rate=0.02, evidence=0.0)
+    best = np.concatenate([w, [cuts[0]], [np.log(cuts[1] - cuts[0])]]).astype(float)
+    value, gradient = ordinal.loss(best, row, feature, grade, 4, 1e-4)
+    assert np.abs(gradient).max() < 1e-3
+    assert all(ordinal.loss(best + 0.1 * rng.normal(size=6), row, feature, grade, 4, 1e-4)[0] > value for _ in range(200))
+
+
+def test_a_rated_key_that_repeats_doesnt_widen_the_fit(spark):
+    texts = spark.createDataFrame([(i % 5, f"word{i} and more") for i in range(500)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(5)], "doc_id long, grade int")
+    weights, _ = ordinal.train(texts, ratings, most=50)
+    assert len(weights) == 1 << ordinal.BITS
+
+
 def test_ordinal(spark):
     table = lambda n: spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet")
     text, labels = table("documents"), table("labels")
@@ -293,6 +355,28 @@ def test_large_clusters_are_dealt_in_blocks(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute_components(data, 4, 85))
 
 
+def test_one_large_cluster_is_compared_piece_by_piece(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CLUSTER_SHINGLES", 3000)
+    monkeypatch.setattr(ngram_join, "TASK_SHINGLES", 1000)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+
+    def copy(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"x{rng.random()}"
+        return " ".join(words)
+
+    other = copy(base, 14).split()  # shares rare shingles with the first family, mostly without a link
+    data = list(enumerate([copy(base, 1) for _ in range(200)] + [copy(other, 1) for _ in range(40)] + [copy(base, 9) for _ in range(30)]))
+    dealt = []
+    plain = ngram_join._linked
+    monkeypatch.setattr(ngram_join, "_linked", lambda tasks, *a: dealt.append(tasks.groupBy("uid").count().agg(F.max("count"), F.sum("count")).first()) or plain(tasks, *a))
+    got = ngram_join.components(ngram_join.numbered(spark.createDataFrame(data, "doc_id long, text string"))).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute_components(data, 4, 85))
+    assert len(dealt) == 3 and dealt[1][1] <= 2 * len(data) + 8 * 40  # every set once, and leaders in each task
+
+
 def test_keep_one(spark):
     df = docs(spark, ["a b c d e f", "a b c d e f", None, "", "other words here now then"])
     kept = ngram_join.keep_one(df)
@@ -308,9 +392,12 @@ def test_boundary_is_the_cheapest():
     assert cost(x) == min(cost(b) for b in range(ngram_join.LIGHT_MOST + 1))
 
 
-def test_components_of_edges(spark):
+@pytest.mark.parametrize("most", [2_000_000, 20])
+def test_components_of_edges(spark, monkeypatch, most):
+    monkeypatch.setattr(ngram_join, "EDGES_PER_TASK", most)
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (150, 300), (7, 7), (100, 200)] + [(1000, 1001 + i) for i in range(50)]
-    got = dict(tuple(r) for r in ngram_join.connected(spark.createDataFrame(edges, "u long, v long"), "t").collect())
+    frame = spark.createDataFrame(edges, "u long, v long")
+    got = dict(tuple(r) for r in ngram_join.connected(frame, scratch.Run(spark)).collect())
     assert all(got[i] == 0 for i in range(61)) and {got[i] for i in (100, 150, 200, 300)} == {100} and got[1050] == 1000 and len(got) == 61 + 4 + 51
 
 
@@ -342,6 +429,33 @@ def test_top_k(spark, scale):
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_lists_below_the_cutoff_are_not_multiplied():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 64))
+    v = np.floor(1024 * (centres[rng.integers(0, 20, 3000)] + 0.2 * rng.normal(size=(3000, 64))))
+    q = v[:40]
+    scores = (q @ v.T).astype(np.int64)
+    cut = np.sort(scores, axis=1)[:, -10]
+    a, b, found, cost = topk.reached(q, v, cut, 4)
+    want = np.nonzero(scores >= cut[:, None])
+    assert (a == want[0]).all() and (b == want[1]).all() and (found == scores[want]).all()
+    assert cost < 0.6 * q.shape[0] * v.size
+    everything = topk.reached(q, v, np.full(40, -(2**63)), 4)
+    assert len(everything[0]) == scores.size and (everything[2] == scores.ravel()).all()
+
+
+def test_cutoffs_are_safe():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(5000, 16))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(v.tolist())], ["id", "vector"])
+    q = np.floor(1024 * v[:30])
+    out = next(topk._cutoffs(np.arange(30), q, 10, 1024.0)(iter([batch])))
+    scores = (q @ np.floor(1024 * v).T).astype(np.int64)
+    np.fill_diagonal(scores[:, :30], -(2**62))
+    tenth = np.sort(scores, axis=1)[:, -10]
+    assert out.num_rows == 30 and (np.array(out.column(1)) <= tenth[np.array(out.column(0))]).all()
+
+
 def test_packed_lists():
     values = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2))
     assert (arrowtext.unpack_sorted(arrowtext.pack_sorted(values)) == values).all()
