@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from . import arrowtext, scratch
 
 #: Bytes of text of a block; tokens that a counting task combines at once.
 BLOCK_BYTES = 4 << 20
+BUCKET_BLOCKS = 4
 COMBINED = 3_000_000
 _END = np.uint64(0xA5A5F00D12345677)
 
@@ -158,8 +160,8 @@ class Model:
 
 
 def bucket_bits(corpus: DataFrame) -> int:
-    """Buckets as many as half the blocks, so that a bucket's n-grams fill a task as a block's do."""
-    return max(3, min(30, math.ceil(math.log2(max(1, corpus.select("_block").count() / 2)))))
+    """One bucket for about ``BUCKET_BLOCKS`` blocks: a block asks every bucket, so the fewer, the fuller the messages."""
+    return max(3, min(30, math.ceil(math.log2(max(1, corpus.select("_block").count() / BUCKET_BLOCKS)))))
 
 
 def train(corpus: DataFrame, order: int = 2, bits: int | None = None) -> Model:
@@ -168,25 +170,24 @@ def train(corpus: DataFrame, order: int = 2, bits: int | None = None) -> Model:
     counted = corpus.select("held", "hashes", "codes", "lengths").mapInArrow(_counted(order, bits), "bucket int, k int, hashes binary, counts binary")
     summed = counted.groupBy("bucket").applyInArrow(_summed, "bucket int, k int, hashes binary, counts binary, total long, types long")
     table = scratch.materialise(summed, "lm")
-    del counted, summed
     return Model(table, order, bits)
 
 
-def _asked(order: int, bits: int):
-    """The distinct n-grams of each block by bucket, with how often the block's training texts have them."""
+def _asked(orders: tuple[int, ...], bits: int):
+    """The distinct n-grams of each block, of some orders, by bucket, with how often the block's training texts have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                grams, trained, rows = _grams(row, order), ~np.frombuffer(row["held"], bool), []
+                grams, trained, rows = _grams(row, max(orders)), ~np.frombuffer(row["held"], bool), []
                 trained = np.repeat(trained, grams.lengths)
-                for k in range(1, order + 1):
+                for k in orders:
                     wanted = grams.place >= k - 1
                     values, inverse = np.unique(grams.at[k - 1][wanted], return_inverse=True)
                     counts = np.bincount(inverse[trained[wanted]], minlength=len(values))
                     rows += [(bucket, row["_block"], k, arrowtext.pack_sorted(values[a:b]), arrowtext.pack_small(counts[a:b])) for bucket, a, b in _parts(values, bits)]
-                columns = list(zip(*rows))
+                columns = list(zip(*rows)) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["bucket", "_block", "k", "hashes", "counts"])
 
     return run
@@ -331,20 +332,18 @@ def _finished(corpus: DataFrame, replies: DataFrame, order: int, tokens: int, ty
 def score(corpus: DataFrame, model: Model, kind: str = "long", key: str = "doc_id", mu: float = 50.0) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of a corpus in blocks, by a model of
     any corpus; kind is the key's type."""
-    asked = corpus.select("_block", "held", "hashes", "codes", "lengths").mapInArrow(_asked(model.order, model.bits), _ASKED).drop("counts")
+    asked = corpus.select("_block", "held", "hashes", "codes", "lengths").mapInArrow(_asked(tuple(range(1, model.order + 1)), model.bits), _ASKED).drop("counts")
     answered = asked.groupBy("bucket").cogroup(model.table.select("bucket", "k", "hashes", "counts").groupBy("bucket")).applyInArrow(_answered, _REPLY)
     replies = scratch.materialise(answered, "lm-replies")
-    del asked, answered
     return _finished(corpus, replies, model.order, model.tokens, model.types, kind, key, mu)
 
 
 def score_own(corpus: DataFrame, order: int = 2, kind: str = "long", key: str = "doc_id", mu: float = 50.0) -> DataFrame:
-    """As ``score`` by the model of the corpus's own training texts. One exchange both counts and asks, so that neither the
-    model nor a second copy of the n-grams is written."""
-    asked = corpus.select("_block", "held", "hashes", "codes", "lengths").mapInArrow(_asked(order, bucket_bits(corpus)), _ASKED)
-    answered = asked.groupBy("bucket").applyInArrow(_counted_answers, _REPLY)
-    replies = scratch.materialise(answered, "lm-replies")
-    del asked, answered
-    sums = replies.where("_block = -1").select("counts").mapInArrow(_sizes, "n long, v long")
+    """As ``score`` by the model of the corpus's own training texts. One exchange for each order both counts and asks, so that
+    neither the model nor a second copy of the n-grams is written, and only one order's n-grams are on disk at a time."""
+    run, bits = scratch.Run(corpus.sparkSession), bucket_bits(corpus)
+    rows = corpus.select("_block", "held", "hashes", "codes", "lengths")
+    replies = [run.keep(rows.mapInArrow(_asked((k,), bits), _ASKED).groupBy("bucket").applyInArrow(_counted_answers, _REPLY), "lm-replies") for k in range(1, order + 1)]
+    sums = replies[0].where("_block = -1").select("counts").mapInArrow(_sizes, "n long, v long")
     row = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
-    return _finished(corpus, replies.where("_block >= 0"), order, int(row["n"]), int(row["v"]), kind, key, mu)
+    return _finished(corpus, reduce(DataFrame.unionByName, replies).where("_block >= 0"), order, int(row["n"]), int(row["v"]), kind, key, mu)
