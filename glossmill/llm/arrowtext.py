@@ -30,10 +30,19 @@ def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
     return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
 
 
+def _compact(text: pa.Array, lower: bool) -> pa.Array:
+    """The texts in buffers of their own, which begin at 0: kernels for ASCII go wrong on slices. A-Z are lowered if asked for."""
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    if lower:
+        data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+    return pa.LargeStringArray.from_buffers(len(text), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words in UTF-8, the codes of all words in order, and the words of each text. Words are runs without ASCII
     white space; A-Z are lowered."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
+    lists = pc.ascii_split_whitespace(_compact(text.cast(pa.large_string()), lower))
     counts, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
     blank = pc.equal(pc.binary_length(flat), 0)  # before and after white space at the ends
     if pc.any(blank).as_py():

@@ -473,6 +473,18 @@ def test_words_match_the_pattern(sample):
         at += n
 
 
+def test_words_of_slices_are_those_of_the_texts(sample):
+    texts = [*sample, "  à ñ\x85 \xa0é ", None, "\x1cÀ\x1f b\x0b\x0cc", *sample[:30]]
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.string())})
+    for at, n in ((0, 7), (3, 50), (100, 60), (len(texts) - 33, 33)):
+        part = batch.slice(at, n)
+        for lower in (True, False):
+            names, codes, counts = arrowtext.words(arrowtext.texts(part, "t"), lower)
+            raw = [(t or "").encode() for t in part.column(0).to_pylist()]
+            want = [(t.lower() if lower else t).split() for t in raw]
+            assert counts.tolist() == [len(w) for w in want] and [names[c] for c in codes] == [w for x in want for w in x]
+
+
 def test_slices_cover_all():
     batch = pa.RecordBatch.from_pydict({"t": ["a" * n for n in (1, 500, 3, 4, 900, 1)]})
     parts = list(arrowtext.slices(iter([batch]), "t", 520))
