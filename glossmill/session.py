@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -40,3 +41,15 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir; a local session without that setting gets a
+    temporary one, on a cluster its absence is an error."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="glossmill-work-")
+    return f"{top.removeprefix('file://').rstrip('/')}/{name}-{uuid.uuid4().hex}"

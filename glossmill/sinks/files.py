@@ -22,7 +22,7 @@ def write_report(stats: dict, missing: DataFrame, folder: str) -> None:
     """download_report.json and missing_videos (VIDEO_ID, REASON), the latter with a header even when nothing is missing."""
     os.makedirs(folder, exist_ok=True)
     _atomic(os.path.join(folder, "download_report.json"), json.dumps(stats, indent=2, sort_keys=True).encode())
-    missing.select("VIDEO_ID", "REASON").coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(folder, "missing_videos"))
+    missing.select("VIDEO_ID", "REASON").coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(folder, "missing_videos"))
 
 
 def _atomic(path: str, data: bytes) -> None:
@@ -52,6 +52,18 @@ def write_arrays(clips: DataFrame, folder: str) -> DataFrame:
     return clips.select("sample", "t", "values").groupBy("sample").applyInPandas(run, "sample string, path string, frames long")
 
 
+def write_blobs(blobs: DataFrame, folder: str) -> DataFrame:
+    """(path, bytes): one file for each row (name, payload) below a shared folder; a repeated attempt writes the same file."""
+
+    def run(pdfs):
+        for pdf in pdfs:
+            for r in pdf.itertuples(index=False):
+                _atomic(f"{folder}/{r.name}", bytes(r.payload))
+            yield pd.DataFrame({"path": [f"{folder}/{n}" for n in pdf["name"]], "bytes": [len(x) for x in pdf["payload"]]})
+
+    return blobs.select("name", F.col("payload").cast("binary").alias("payload")).mapInPandas(run, "path string, bytes long")
+
+
 def write_tar_shards(members: DataFrame, folder: str, prefix: str = "shard") -> DataFrame:
     """(shard_id, path, members, bytes): one tar for each shard_id of (shard_id, key, ext, payload), members by key and ext.
 

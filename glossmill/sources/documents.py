@@ -107,3 +107,23 @@ def landmark_arrays(spark: SparkSession, folder: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(folder)
     return files.select("path", "content").mapInPandas(run, "sample string, t int, frame array<struct<x:float,y:float,z:float,v:float>>")
+
+
+def tar_members(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, key, ext, payload) of the tar shards below a folder."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+        import tarfile
+
+        for pdf in pdfs:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                    rows = [(path.rsplit("/", 1)[-1], *m.name.rsplit(".", 1), tar.extractfile(m).read()) for m in tar.getmembers()]
+                yield pd.DataFrame(rows, columns=["shard", "key", "ext", "payload"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.tar").load(folder)
+    return files.select("path", "content").mapInPandas(run, "shard string, key string, ext string, payload binary")

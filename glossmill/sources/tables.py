@@ -71,7 +71,7 @@ def csl_corpus(spark: SparkSession, path: str) -> DataFrame:
     data = lines.where((F.trim("value") != "") & ~F.ltrim("value").startswith("#"))
     first = data.orderBy("line").limit(1).collect()
     sep = "\t" if first and "\t" in first[0]["value"] else r"\s+"
-    parts = F.filter(F.transform(F.split(F.trim("value"), sep), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.trim("value"), sep), lambda p: F.trim(p)), lambda p: p != "")
     p = data.withColumn("p", parts).where(F.size("p") >= 2)
     sentence, signer = F.get("p", F.lit(0)).try_cast("int"), F.get("p", F.lit(1)).try_cast("int")
     three = F.size("p") >= 3
