@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Frames of a run of the accumulator.
+RUN = 256
+
+
 def windows(start: Column, end: Column, size: float, stride: float, least: float) -> Column:
     """array<struct<idx, start, end>> of the sliding windows of a span.
 
@@ -56,14 +60,24 @@ def effective_fps(rate: float | None, source_fps: Column) -> Column:
 
 
 def sample_by_ratio(frames: Column, ratio: Column) -> Column:
-    """The frames that an accumulator keeps: it gains ``ratio`` with each frame and pays 1 for each frame kept."""
-    state = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<bigint>").alias("out"))
+    """The frames that an accumulator keeps: it gains ``ratio`` with each frame and pays 1 for each frame kept.
+
+    Frames are taken in runs of ``RUN``, so that what is kept is appended to a short array, and this as one element to that
+    of all runs.
+    """
+    none = F.array().cast("array<bigint>")
 
     def step(acc: Column, frame: Column) -> Column:
         total = acc["sum"] + ratio
         return F.when(total >= 1, F.struct((total - 1).alias("sum"), F.concat(acc["out"], F.array(frame.cast("long"))).alias("out"))).otherwise(F.struct(total.alias("sum"), acc["out"].alias("out")))
 
-    return F.aggregate(frames, state, step, lambda acc: acc["out"])
+    def run(acc: Column, k: Column) -> Column:
+        part = F.aggregate(F.slice(frames, k * RUN + 1, F.lit(RUN)), F.struct(acc["sum"].alias("sum"), none.alias("out")), step)
+        return F.struct(part["sum"].alias("sum"), F.concat(acc["runs"], F.array(part["out"])).alias("runs"))
+
+    runs = F.when(F.size(frames) > 0, F.sequence(F.lit(0), ((F.size(frames) - 1) / RUN).cast("int"))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<array<bigint>>").alias("runs"))
+    return F.aggregate(runs, start, run, lambda acc: F.flatten(acc["runs"]))
 
 
 def sample_by_skip(frames: Column, every: int) -> Column:

@@ -91,12 +91,17 @@ def scale(long: DataFrame, mode: str = "xy_isotropic_z_minmax") -> DataFrame:
     return long.join(ends, "clip").select("clip", "t", "k", *(v.alias(c) for c, v in scaled.items()))
 
 
-def flatten(long: DataFrame, remove_z: bool = False, missing: float = MISSING) -> DataFrame:
-    """(clip, t, values array<float>) with the landmarks in order and the sentinel for null."""
+def flatten(long: DataFrame, remove_z: bool = False, missing: float = MISSING, size: int | None = None) -> DataFrame:
+    """(clip, t, values array<float>) with the landmarks in order and the sentinel for null. A frame that has fewer than ``size``
+    landmarks is an error."""
     channels = "xy" if remove_z else "xyz"
     point = F.array(*(F.coalesce(F.col(c), F.lit(missing)).cast("float") for c in channels))
     rows = long.groupBy("clip", "t").agg(F.array_sort(F.collect_list(F.struct(F.col("k"), point.alias("p")))).alias("ps"))
-    return rows.select("clip", "t", F.flatten(F.transform("ps", lambda p: p["p"])).alias("values"))
+    values = F.flatten(F.transform("ps", lambda p: p["p"]))
+    if size is not None:
+        short = F.raise_error(F.format_string(f"clip %s has no landmark for some of the {size} indices; check keypoint_preset", F.col("clip").cast("string")))
+        values = F.when(F.size("ps") < size, short).otherwise(values)
+    return rows.select("clip", "t", values.alias("values"))
 
 
 def normalise(long: DataFrame, indices: list[int] | None = None, mode: str = "xy_isotropic_z_minmax", remove_z: bool = False, empty_frames: bool = True, low_confidence: bool = False, threshold: float = 0.3, missing: float = MISSING) -> DataFrame:
@@ -108,7 +113,7 @@ def normalise(long: DataFrame, indices: list[int] | None = None, mode: str = "xy
         spark = long.sparkSession
         wanted = spark.createDataFrame([(k, i) for i, k in enumerate(indices)], "k int, to int")
         masked_first = long.join(F.broadcast(wanted), "k").select("clip", "t", F.col("to").alias("k"), "x", "y", "z", "v")  # a preset is a few hundred rows
-    return flatten(scale(mask(masked_first, empty_frames, low_confidence, threshold), mode), remove_z, missing)
+    return flatten(scale(mask(masked_first, empty_frames, low_confidence, threshold), mode), remove_z, missing, None if indices is None else len(indices))
 
 
 def zero_frame(size: int) -> Column:

@@ -26,16 +26,12 @@ def normalise(text: Column, fix_encoding: bool = True, whitespace: bool = True,
     """Caption text: repaired, on one line, white space collapsed; lower case and without punctuation if asked for."""
     if fix_encoding:
         text = repair_encoding(text)
-    text = F.translate(text, "\n\r", "  ")
-    if whitespace:
-        text = collapse(text)
     if lowercase:
         text = F.lower(text)
     if strip_punctuation:
         text = F.regexp_replace(text, NOT_WORD, "")
-        if whitespace:
-            text = collapse(text)
-    return text
+    # Line breaks are white space, so that one pass at the end does for all.
+    return collapse(text) if whitespace else F.translate(text, "\n\r", "  ")
 
 
 def present(text: Column) -> Column:

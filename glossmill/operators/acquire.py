@@ -37,9 +37,17 @@ def wanted_wlasl(rows: DataFrame) -> DataFrame:
     return joins.last_wins(both.select(F.col("video_id").alias("VIDEO_ID"), "url", F.struct("i", "j").alias("at")), "VIDEO_ID", "at")
 
 
-def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str = "drop_unavailable", pause: float = 0.2, step: float = 0.1, most: float = 2.0, stop_on_block: bool = True, sleep: Callable[[float], None] = time.sleep) -> tuple[dict, list[tuple[str, str]]]:
+def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str = "drop_unavailable", pause: float = 0.2, step: float = 0.1, most: float = 2.0, stop_on_block: bool = True, sleep: Callable[[float], None] = time.sleep, log: Callable[[str, str], object] | None = None) -> tuple[dict, list[tuple[str, str]]]:
     """({wanted, downloaded, errors, blocked}, [(VIDEO_ID, REASON)]). One after another, by id; every error lengthens the
-    pause. The ids stream to the driver, which fetches: the far side's pace is the bound, not the cluster's."""
+    pause. The ids stream to the driver, which fetches: the far side's pace is the bound, not the cluster's. With ``log``
+    each failure goes there and only the first is kept."""
+
+    def note(video_id: str, why: str) -> None:
+        if log is not None:
+            log(video_id, why)
+        if log is None or not missing:
+            missing.append((video_id, why))
+
     stats, missing = {"wanted": 0, "downloaded": 0, "errors": 0, "blocked": False}, []
     for row in availability.missing(wanted.select(wanted.columns[0]), there).toLocalIterator():
         stats["wanted"] += 1
@@ -47,13 +55,13 @@ def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str
             fetcher.fetch(row[0])
             stats["downloaded"] += 1
         except Blocked as e:
-            missing.append((row[0], str(e)))
+            note(row[0], str(e))
             stats["errors"] += 1
             if stop_on_block:
                 stats["blocked"] = True
                 break
         except Exception as e:  # a video's failure is its reason
-            missing.append((row[0], str(e)))
+            note(row[0], str(e))
             stats["errors"] += 1
             pause = min(most, pause + step)
         sleep(pause)

@@ -128,11 +128,15 @@ def validate(df: DataFrame) -> DataFrame:
 
 def counts(df: DataFrame) -> DataFrame:
     """Segments, videos, classes, signers and splits of a manifest."""
+    # One narrow aggregation for each column, not one that repeats every row for each of them. Each part is one row.
     aggs = [F.count(F.lit(1)).alias("segments")]
-    aggs += [F.count_distinct(c).alias(n) for c, n in (("VIDEO_ID", "videos"), ("CLASS_ID", "classes"), ("SIGNER_ID", "signers")) if c in df.columns]
     if "SPLIT" in df.columns:
         aggs.append(F.array_join(F.sort_array(F.collect_set("SPLIT")), ",").alias("splits"))
-    return df.agg(*aggs)
+    out = df.agg(*aggs)
+    for c, n in (("VIDEO_ID", "videos"), ("CLASS_ID", "classes"), ("SIGNER_ID", "signers")):
+        if c in df.columns:
+            out = out.crossJoin(df.select(c).distinct().agg(F.count(c).alias(n)))
+    return out.select(*(c for c in ("segments", "videos", "classes", "signers", "splits") if c in out.columns))
 
 
 def stage_counters(df: DataFrame, status: str) -> DataFrame:
@@ -140,16 +144,16 @@ def stage_counters(df: DataFrame, status: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"), *(F.count_if(F.col(status) == s).alias(n) for s, n in (("ok", "processed"), ("skipped", "skipped"), ("error", "errors"))))
 
 
-def content_hash(df: DataFrame) -> DataFrame:
-    """content_hash of all rows, whatever their order: the SHA-256 of each row, combined by sums that don't depend on order.
+def content_hash(df: DataFrame, digits: int = 4) -> DataFrame:
+    """content_hash of all rows, whatever their order: a tree of SHA-256.
 
-    Four sums of 60 bits of each row's digest keep the state small on every task; nothing is collected.
+    Rows are hashed as JSON. Row hashes with the same first ``digits`` hex digits make a leaf, which is the hash of them all
+    in order; the root is the hash of the leaves in order, 16 ** digits of them at most.
     """
     row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    digests = df.select(row.alias("d"))
-    part = lambda i: F.sum(F.conv(F.substring("d", 15 * i + 1, 15), 16, 10).cast("decimal(38,0)"))
-    sums = digests.agg(F.count(F.lit(1)).alias("n"), *(part(i).alias(f"s{i}") for i in range(4)))
-    return sums.select(F.sha2(F.concat_ws(",", F.lit(",".join(df.columns)), "n", *(f"s{i}" for i in range(4))), 256).alias("content_hash"))
+    leaves = df.select(row.alias("d")).groupBy(F.substring("d", 1, digits).alias("leaf")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("d")), ""), 256).alias("h"))
+    root = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("leaf", "h"))), lambda x: x["h"]), "")
+    return leaves.agg(F.sha2(F.concat(F.lit(",".join(df.columns) + ":"), root), 256).alias("content_hash"))
 
 
 def sample_metadata(processor: str) -> Column:

@@ -174,7 +174,8 @@ def run_probe(rows: DataFrame, probe: Callable[[], MediaProbe], path: str = "VID
 
 
 def run_clips(rows: DataFrame, writer: Callable[[], ClipWriter]) -> DataFrame:
-    """(SAMPLE_ID, status, message) of rows (SAMPLE_ID, VIDEO_PATH, TARGET, START, END, crop). Writers must write to another name and rename."""
+    """(SAMPLE_ID, path, status, message) of rows (SAMPLE_ID, VIDEO_PATH, TARGET, START, END, crop). Writers must write to another
+    name and rename."""
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = writer()
@@ -183,9 +184,9 @@ def run_clips(rows: DataFrame, writer: Callable[[], ClipWriter]) -> DataFrame:
             for r in pdf.itertuples(index=False):
                 try:
                     ok = w.write(r.VIDEO_PATH, r.TARGET, r.START, r.END, r.crop)
-                    out.append((r.SAMPLE_ID, "ok" if ok else "error", None if ok else "not written"))
+                    out.append((r.SAMPLE_ID, r.TARGET, "ok" if ok else "error", None if ok else "not written"))
                 except Exception as e:
-                    out.append((r.SAMPLE_ID, "error", str(e)))
-            yield pd.DataFrame(out, columns=["SAMPLE_ID", "status", "message"])
+                    out.append((r.SAMPLE_ID, r.TARGET, "error", str(e)))
+            yield pd.DataFrame(out, columns=["SAMPLE_ID", "path", "status", "message"])
 
-    return rows.select("SAMPLE_ID", "VIDEO_PATH", "TARGET", "START", "END", "crop").mapInPandas(run, "SAMPLE_ID string, status string, message string")
+    return rows.select("SAMPLE_ID", "VIDEO_PATH", "TARGET", "START", "END", "crop").mapInPandas(run, "SAMPLE_ID string, path string, status string, message string")

@@ -9,19 +9,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..session import work_folder
+
 
 def by_count(df: DataFrame, order: str, most: int, name: str = "shard_id") -> DataFrame:
     """Shard numbers of ``most`` rows each, in order; order must be unique.
 
-    Ranges of the order are counted first and every row is numbered inside its range, so that no task sorts all rows.
+    Ranges of the order are sorted, each row gets its place in its range, and that is written once, so that no task sorts
+    all rows and the ranges are the same for their counts and for the rows.
     """
-    ranges = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    sizes = ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_part", before.alias("_before"))  # one row for each partition
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
-    out = ranges.withColumn("_i", inside).join(F.broadcast(starts), "_part")
-    return out.withColumn(name, F.floor((F.col("_before") + F.col("_i")) / most).cast("long")).drop("_part", "_i", "_before")
+    places = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_place", F.monotonically_increasing_id())
+    folder = work_folder(df.sparkSession, "ranges")
+    places.write.parquet(folder)
+    rows = df.sparkSession.read.schema(places.schema).parquet(folder)
+    part, inside = F.shiftright("_place", 33).alias("_part"), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_part", before.alias("_before"))  # one row for each range
+    out = rows.withColumns({"_part": F.shiftright("_place", 33), "_inside": inside}).join(F.broadcast(starts), "_part")
+    return out.withColumn(name, F.floor((F.col("_before") + F.col("_inside")) / most).cast("long")).drop("_part", "_place", "_inside", "_before")
 
 
 def by_count_and_bytes(df: DataFrame, order: str, size: str, most: int, most_bytes: int, group: str | None = None, name: str = "shard_id") -> DataFrame:

@@ -16,6 +16,12 @@ SPLIT_I = {"train": (1, 40), "test": (41, 50)}  # signers
 SPLIT_II = {"train": (1, 94), "test": (95, 100)}  # sentences
 LSA_SIGNERS = {"train": (1, 2, 3, 4, 5, 6, 7, 8), "val": (9,), "test": (10,)}
 ALL_CLASSES = 1000
+AUTSL_SUFFIXES = {"rgb": "_color", "depth": "_depth"}
+
+
+def stacked(parts: list[DataFrame]) -> DataFrame:
+    """All rows of the parts; columns that a part lacks are null in it."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def only_split(df: DataFrame, split: str) -> DataFrame:
@@ -68,17 +74,18 @@ def openasl(rows: DataFrame, text_column: str = "en", found: DataFrame | None =
     return df if found is None else joins.boxes_by_sample(df, found)
 
 
-def autsl(splits: dict[str, DataFrame], classes: DataFrame, modality: str = "rgb", fps: float = 30.0, durations: DataFrame | None = None) -> DataFrame:
-    """Labels (sample_key, label_id) of each split with the class names (CLASS_ID, GLOSS_TR, GLOSS_EN)."""
+def autsl(splits: dict[str, DataFrame], classes: DataFrame, modality: str = "rgb", fps: float = 30.0, durations: DataFrame | None = None, folders: dict[str, str] | None = None) -> DataFrame:
+    """Labels (sample_key, label_id) of each split with the class names (CLASS_ID, GLOSS_TR, GLOSS_EN). A split's
+    folder is called like it, if ``folders`` doesn't say otherwise."""
     if not splits:
         raise ValueError("no split has labels")
-    suffix = {"rgb": "_color", "depth": "_depth"}[modality]
-    rows = reduce(DataFrame.unionByName, [df.withColumn("SPLIT", F.lit(name)) for name, df in splits.items()])
+    suffix = AUTSL_SUFFIXES[modality]
+    rows = stacked([df.withColumns({"SPLIT": F.lit(name), "_folder": F.lit((folders or {}).get(name, name))}) for name, df in splits.items()])
     rows = rows.withColumn("CLASS_ID", tx.real(F.col("label_id")).cast("long"))
     names = joins.last_wins(classes.select(tx.real(F.col("CLASS_ID")).cast("long").alias("CLASS_ID"), "GLOSS_TR", "GLOSS_EN").withColumn("line", F.monotonically_increasing_id()), "CLASS_ID", "line")
     out = joins.lookup(rows, names, "CLASS_ID")
     video = F.concat("sample_key", F.lit(suffix))
-    out = out.select(video.alias("SAMPLE_ID"), video.alias("VIDEO_ID"), F.concat("SPLIT", F.lit("/"), video, F.lit(".mp4")).alias("REL_PATH"), "SPLIT", "CLASS_ID", F.col("GLOSS_TR").alias("GLOSS"), F.coalesce(tx.present(F.col("GLOSS_EN")), F.col("GLOSS_TR")).alias("TEXT"), tx.signer_number(F.col("sample_key")).alias("SIGNER_ID"), F.lit(fps).alias("FPS"), F.lit(0.0).alias("START"))
+    out = out.select(video.alias("SAMPLE_ID"), video.alias("VIDEO_ID"), F.concat("_folder", F.lit("/"), video, F.lit(".mp4")).alias("REL_PATH"), "SPLIT", "CLASS_ID", F.col("GLOSS_TR").alias("GLOSS"), F.coalesce(tx.present(F.col("GLOSS_EN")), F.col("GLOSS_TR")).alias("TEXT"), tx.signer_number(F.col("sample_key")).alias("SIGNER_ID"), F.lit(fps).alias("FPS"), F.lit(0.0).alias("START"))
     if durations is None:
         return out.withColumn("END", F.lit(0.0))
     return out.join(durations.select("VIDEO_ID", F.col("duration").alias("_d")), "VIDEO_ID", "left").withColumn("END", F.coalesce("_d", F.lit(0.0))).drop("_d")
@@ -106,7 +113,7 @@ def lsa64(facts: DataFrame, classes: DataFrame | None, variant: str = "cut", sig
 
 
 def msasl(splits: dict[str, DataFrame], subset: int = ALL_CLASSES) -> DataFrame:
-    rows = reduce(DataFrame.unionByName, [df.withColumn("SPLIT", F.lit(name)) for name, df in splits.items()])
+    rows = stacked([df.withColumn("SPLIT", F.lit(name)) for name, df in splits.items()])
     video = tx.youtube_id(F.col("url"))
     ms = lambda c: tx.milliseconds(F.col(c)).cast("string")
     sample = F.concat_ws("-", "SPLIT", video, ms("start_time"), ms("end_time"), F.col("label").cast("string"))
@@ -152,7 +159,7 @@ def phoenix(splits: dict[str, DataFrame]) -> DataFrame:
             columns += [F.when(good, a).alias("START"), F.when(good, b).alias("END")]
         return df.select(*columns)
 
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [one(n, d) for n, d in splits.items()])
+    return stacked([one(n, d) for n, d in splits.items()])
 
 
 def with_policy(df: DataFrame, there: DataFrame, policy: str, path: bool = False) -> DataFrame:

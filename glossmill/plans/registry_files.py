@@ -274,15 +274,20 @@ def arrays_round_trip(spark, sf_dir):
     return frames.select("sample", "t", F.posexplode("frame").alias("k", "p")).select("sample", "t", "k", "p.*")
 
 
-@query("""WITH d AS (SELECT *, (row_number() OVER (ORDER BY doc_id::VARCHAR) - 1) // 64 AS shard FROM documents),
-    m AS (SELECT shard, doc_id, unnest(['txt', 'json', 'npy']) AS ext, unnest([coalesce(text, ''), '{"video_id":"' || source || '","sample_id":"' || doc_id || '","start":0.0,"end":1.0,"processor":"video2pose"}', 'array ' || doc_id]) AS p FROM d)
+@query("""WITH d AS (SELECT *, (row_number() OVER (ORDER BY doc_id::VARCHAR) - 1) // 64 AS shard FROM documents WHERE doc_id % 5 > 0),
+    m AS (SELECT shard, doc_id, unnest(['txt', 'json', 'npy']) AS ext, unnest([coalesce(text, ''), '{"video_id":"' || source || '","sample_id":"' || doc_id || '","start":0.0,"end":1.0,"processor":"video2pose"}', CASE WHEN doc_id % 2 = 0 THEN 'normalised ' ELSE 'array ' END || doc_id]) AS p FROM d)
     SELECT printf('shard-%06d.tar', shard) AS shard, doc_id::VARCHAR AS key, ext, sha256(p) AS sha FROM m""")
 def tar_round_trip(spark, sf_dir):
-    """Shards of 64 samples, each with its caption, facts and artifact; what the tars hold is read back."""
-    docs = table(spark, sf_dir, "documents").select(_text("doc_id").alias("SAMPLE_ID"), F.col("source").alias("VIDEO_ID"), F.lit(0.0).alias("START"), F.lit(1.0).alias("END"), F.col("text").alias("TEXT"), F.concat(F.lit("array "), _text("doc_id")).cast("binary").alias("payload"))
-    rows = shards.by_count(docs.withColumn("meta", mf.sample_metadata("video2pose")), "SAMPLE_ID", 64)
+    """Shards of 64 samples, each with its caption, its facts and what was made of it, the normalised before the raw; samples
+    without that are left out. What the tars hold is read back."""
+    docs = table(spark, sf_dir, "documents").select(_text("doc_id").alias("SAMPLE_ID"), F.col("source").alias("VIDEO_ID"), F.lit(0.0).alias("START"), F.lit(1.0).alias("END"), F.col("text").alias("TEXT"))
+    made = {}
+    for name, which in (("array", "doc_id % 5 > 0"), ("normalised", "doc_id % 2 = 0 AND doc_id % 5 > 0")):
+        some = table(spark, sf_dir, "documents").where(which).select(F.concat(_text("doc_id"), F.lit(".npy")).alias("name"), F.concat(F.lit(f"{name} "), _text("doc_id")).alias("payload"))
+        made[name] = documents.artifacts(spark, _blobs(some, work_folder(spark, name)), "npy")
+    rows = joins.artifacts(docs.withColumn("meta", mf.sample_metadata("video2pose")), made["normalised"], made["array"]).where("ARTIFACT is not null")
     folder = work_folder(spark, "tars")
-    files.write_tar_shards(files.webdataset_members(rows, "npy"), folder).write.format("noop").mode("overwrite").save()
+    files.write_tar_shards(files.webdataset_members(shards.by_count(rows, "SAMPLE_ID", 64), "npy"), folder).write.format("noop").mode("overwrite").save()
     return documents.tar_members(spark, folder).select("shard", "key", "ext", F.sha2("payload", 256).alias("sha"))
 
 

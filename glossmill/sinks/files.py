@@ -65,36 +65,46 @@ def write_blobs(blobs: DataFrame, folder: str) -> DataFrame:
 
 
 def write_tar_shards(members: DataFrame, folder: str, prefix: str = "shard") -> DataFrame:
-    """(shard_id, path, members, bytes): one tar for each shard_id of (shard_id, key, ext, payload), members by key and ext.
+    """(shard_id, path, members, bytes): one tar for each shard_id of (shard_id, key, ext, payload, source), members by key and ext.
 
-    A shard is bounded by its maker, so that a task holds one shard. Members carry time 0: a repeated attempt writes the
-    same bytes.
+    A member's bytes are its payload, or the contents of the file ``source``, which go into the tar one after another. A
+    shard's number of rows is bounded by its maker. Members carry time 0: a repeated attempt writes the same bytes.
     """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         import io
         import tarfile
 
-        shard, buffer = int(pdf["shard_id"].iloc[0]), io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w") as tar:
+        shard, total = int(pdf["shard_id"].iloc[0]), 0
+        os.makedirs(folder, exist_ok=True)
+        handle, temporary = tempfile.mkstemp(dir=folder)
+        with os.fdopen(handle, "wb") as out, tarfile.open(fileobj=out, mode="w") as tar:
             for r in pdf.sort_values(["key", "ext"]).itertuples(index=False):
                 info = tarfile.TarInfo(f"{r.key}.{r.ext}")
-                info.size = len(r.payload)
-                tar.addfile(info, io.BytesIO(bytes(r.payload)))
+                if r.payload is not None:
+                    info.size = len(r.payload)
+                    tar.addfile(info, io.BytesIO(bytes(r.payload)))
+                else:
+                    info.size = os.path.getsize(r.source)
+                    with open(r.source, "rb") as f:
+                        tar.addfile(info, f)
+                total += info.size
         path = f"{folder}/{prefix}-{shard:06d}.tar"
-        _atomic(path, buffer.getvalue())
-        return pd.DataFrame({"shard_id": [shard], "path": [path], "members": [len(pdf)], "bytes": [int(pdf["payload"].map(len).sum())]})
+        os.replace(temporary, path)
+        return pd.DataFrame({"shard_id": [shard], "path": [path], "members": [len(pdf)], "bytes": [total]})
 
-    return members.select("shard_id", "key", "ext", "payload").groupBy("shard_id").applyInPandas(one, "shard_id long, path string, members long, bytes long")
+    return members.select("shard_id", "key", "ext", "payload", "source").groupBy("shard_id").applyInPandas(one, "shard_id long, path string, members long, bytes long")
 
 
-def webdataset_members(samples: DataFrame, payload_ext: str | None = None) -> DataFrame:
-    """(shard_id, key, ext, payload) from (shard_id, SAMPLE_ID, TEXT, meta[, payload]): txt, json and the payload if any."""
-    parts = [F.struct(F.lit("txt").alias("ext"), F.coalesce("TEXT", F.lit("")).cast("binary").alias("payload")), F.struct(F.lit("json").alias("ext"), F.col("meta").cast("binary").alias("payload"))]
-    if payload_ext:
-        parts.append(F.struct(F.lit(payload_ext).alias("ext"), F.col("payload").alias("payload")))
-    rows = samples.where("payload is not null") if payload_ext else samples
-    return rows.select("shard_id", F.col("SAMPLE_ID").alias("key"), F.explode(F.array(*parts)).alias("m")).select("shard_id", "key", "m.*")
+def webdataset_members(samples: DataFrame, artifact: str | None = None, source: str = "ARTIFACT") -> DataFrame:
+    """(shard_id, key, ext, payload, source) from (shard_id, SAMPLE_ID, TEXT, meta): txt and json, and the file that the column
+    ``source`` names, with the suffix ``artifact``, if any; samples without one are left out then."""
+    none = F.lit(None).cast("string").alias("source")
+    parts = [F.struct(F.lit("txt").alias("ext"), F.coalesce("TEXT", F.lit("")).cast("binary").alias("payload"), none), F.struct(F.lit("json").alias("ext"), F.col("meta").cast("binary").alias("payload"), none)]
+    if artifact:
+        parts.append(F.struct(F.lit(artifact).alias("ext"), F.lit(None).cast("binary").alias("payload"), F.col(source).alias("source")))
+        samples = samples.where(F.col(source).isNotNull())
+    return samples.select("shard_id", F.col("SAMPLE_ID").alias("key"), F.explode(F.array(*parts)).alias("m")).select("shard_id", "key", "m.*")
 
 
 MARKER = "_SUCCESS.json"
@@ -104,9 +114,13 @@ def text_hash(value) -> str:
     return hashlib.sha256(json.dumps(value, sort_keys=True, default=str).encode()).hexdigest()
 
 
-def write_marker(folder: str, stage: str, config: dict, manifest_hash: str, upstream: list[str], outputs: list[str]) -> dict:
-    """The proof that a stage ended: what went in, what came out."""
-    mark = {"stage": stage, "stage_config_hash": text_hash(config), "manifest_hash": manifest_hash, "upstream_success_hash": text_hash(sorted(upstream)), "output_count": len(outputs), "output_sample": sorted(outputs)[:5], "timestamp": datetime.now(timezone.utc).isoformat()}
+def write_marker(folder: str, stage: str, config: dict, manifest_hash: str, upstream: list[str], outputs: DataFrame | list[str]) -> dict:
+    """The proof that a stage ended: what went in, what came out. Of outputs (path) only the number and five names are kept."""
+    if isinstance(outputs, DataFrame):
+        count, sample = outputs.count(), [r["path"] for r in outputs.orderBy("path").limit(5).collect()]
+    else:
+        count, sample = len(outputs), sorted(outputs)[:5]
+    mark = {"stage": stage, "stage_config_hash": text_hash(config), "manifest_hash": manifest_hash, "upstream_success_hash": text_hash(sorted(upstream)), "output_count": count, "output_sample": sample, "timestamp": datetime.now(timezone.utc).isoformat()}
     os.makedirs(folder, exist_ok=True)
     _atomic(os.path.join(folder, MARKER), json.dumps(mark, indent=2).encode())
     return mark

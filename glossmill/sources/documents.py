@@ -109,6 +109,17 @@ def landmark_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "sample string, t int, frame array<struct<x:float,y:float,z:float,v:float>>")
 
 
+def artifacts(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """(SAMPLE_ID, path, bytes) of the results of one kind in a folder; none where there is no such folder. Only names and sizes are read."""
+    from . import discovery
+
+    if not discovery.is_folder(spark, folder):
+        return spark.createDataFrame([], "SAMPLE_ID string, path string, bytes long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder).select("path", "length")
+    path = F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), r"^file:/*", "/")
+    return files.select(tx.stem(path).alias("SAMPLE_ID"), path.alias("path"), F.col("length").alias("bytes"))
+
+
 def tar_members(spark: SparkSession, folder: str) -> DataFrame:
     """(shard, key, ext, payload) of the tar shards below a folder."""
     from collections.abc import Iterator

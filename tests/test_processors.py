@@ -33,16 +33,20 @@ def run(spark, tmp_path):
     return runner.Run(c, df)
 
 
-def names(paths):
-    return sorted(os.path.basename(p) for p in paths)
+def listed(outputs):
+    return sorted(r["path"] for r in outputs.collect())
+
+
+def names(outputs):
+    return [os.path.basename(p) for p in listed(outputs)]
 
 
 def test_pose_then_normalise(spark, run):
     options = {"detection": "twins", "pose": "fake", "sample_rate": 0.5, "pose_config": {"size": 133}}
     after, paths = processors.video2pose(spark, runner.Run(run.config, run.manifest.where("START is not null")), options)
-    assert names(paths) == ["s1.npy", "s2.npy"] and np.load(paths[0]).shape[1] == 532
+    assert names(paths) == ["s1.npy", "s2.npy"] and np.load(listed(paths)[0]).shape[1] == 532
     _, paths = processors.normalize(spark, after, {"keypoint_preset": "mmpose_133_to_85", "remove_z": True})
-    clip = np.load(sorted(paths)[0])
+    clip = np.load(listed(paths)[0])
     assert clip.shape[1] == 170 and clip.max() <= 1
     done = spark.createDataFrame([("s1",)], "SAMPLE_ID string")
     _, paths = processors.video2pose(spark, runner.Run(run.config, run.manifest.where("START is not null")), options, done)
@@ -52,7 +56,7 @@ def test_pose_then_normalise(spark, run):
 def test_clips(spark, run):
     options = {"detection": "twins", "sample_rate": None, "writer": "text", "video_config": {"padding": 0.1, "resize": [64, 64]}}
     _, paths = processors.video2crop(spark, run, options)
-    assert names(paths) == ["s1.mp4", "s2.mp4"] and "640" in open(paths[0]).read()
+    assert names(paths) == ["s1.mp4", "s2.mp4"] and "640" in open(listed(paths)[0]).read()
     _, paths = processors.video2compression(spark, run, options)
     assert names(paths) == ["two.mp4", "v1.mp4", "v2.mp4"]
     _, paths = processors.clip_video(spark, run, {"writer": "text"})

@@ -199,8 +199,8 @@ def test_jobs(spark, tmp_path):
     c = config.load(job, ["dataset.source.video_ids_file=ids.txt"])
     assert c["paths"]["transcripts"] == str(tmp_path / "data/t") and c["dataset"]["source"]["max_text_length"] == 300
     run = runner.run_job(spark, c)
-    assert run.done == ("manifest", "output") and len(os.listdir(tmp_path / "webdataset/youtube_asl/r1")) == 2
-    assert runner.run_job(spark, c).done == ("manifest", "output (kept)")
+    assert run.done == ("acquire", "manifest", "output") and len(os.listdir(tmp_path / "webdataset/youtube_asl/r1")) == 2
+    assert runner.run_job(spark, c).done == ("acquire", "manifest", "output (kept)")
     put(tmp_path / "configs/experiments/e.yaml", "name: e\njobs:\n  - {job: configs/jobs/j.yaml, overrides: {dataset: {source: {video_ids_file: ids.txt}}}}\n  - configs/jobs/none.yaml\n")
     results = runner.run_experiment(spark, str(tmp_path / "configs/experiments/e.yaml"))
     assert runner.summary(results) == {"succeeded": 1, "failed": 1} and files.job_results(spark, results).count() == 2
