@@ -483,7 +483,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     rows = docs.select("uid", F.col(key).alias("key"), F.col(text).alias("text"))
     facts = run.keep(rows.mapInArrow(_facts(n, bits, bucket_bits), f"{_FACTS_SQL}, key {kind}"), "facts")
 
-    sets = facts.where("kind = 0").select("uid", "key", "size", "digest", "block")
+    sets = run.keep(facts.where("kind = 0").select("uid", "key", "size", "digest", "block"), "sets")
     several = sets.where("size > 0").groupBy("digest").agg(F.min("uid").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     several = run.keep(several.select("digest", "lead"), "several")
     same = run.keep(sets.join(several, "digest").where("uid <> lead").select(F.col("uid").alias("u"), F.col("lead").alias("v"), "block"), "same")
@@ -500,7 +500,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     told = told.unionByName(copies.select("block", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("counts"), "copies"))
     keyed = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_keyed(n, bits, bucket_bits, Sizes(percent, boundary)), _KEYS_SQL)
     keyed = run.keep(keyed, "keyed")
-    run.drop(replies)
+    run.drop(replies, facts)
 
     met = keyed.where("kind = 0").select("bucket", "base", "keys", "refs").groupBy("bucket").applyInArrow(_met, "u long, v long")
     met = met.unionByName(keyed.where("kind = 1").select(F.col("uid").alias("u"), F.col("other").alias("v")))
