@@ -15,11 +15,17 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
 
+# The characters that Windows-1252 has where Latin-1 has controls, and these controls.
+_WINDOWS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+_CONTROLS = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)).decode("latin-1")
+
+
 def repair_encoding(text: Column) -> Column:
-    """UTF-8 that was read as Latin-1 becomes what it was, where the text can be read that way; else it stays."""
+    """UTF-8 that was read as Latin-1 or Windows-1252 becomes what it was, where the text can be read that way; else it stays."""
+    whole, text = text, F.translate(text, _WINDOWS, _CONTROLS)
     narrow = text.rlike(r"^[\x{0}-\x{ff}]*$") & text.rlike(r"[\x{80}-\x{ff}]")
     raw = F.encode(F.when(narrow, text), "ISO-8859-1")
-    return F.when(narrow & F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(text)
+    return F.when(narrow & F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(whole)
 
 
 def normalise(text: Column, fix_encoding: bool = True, whitespace: bool = True, lowercase: bool = False, strip_punctuation: bool = False) -> Column:

@@ -8,13 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import availability, models
+from ..operators import availability, media, models
 from ..sources import discovery, documents, tables
 from . import builders
 from .runner import DATASETS, pick, register
 
 #: Probes of videos by name; a source with ``probe`` gets its lengths and rates from one.
-PROBES: dict[str, Callable[[dict], models.MediaProbe]] = {}
+PROBES: dict[str, Callable[[dict], models.MediaProbe]] = {"ffprobe": lambda o: media.FfprobeProbe(o.get("ffprobe", "ffprobe"))}
 
 
 def _root(config: dict) -> str:

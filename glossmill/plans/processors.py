@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes, intervals, landmarks
-from ..operators import availability, models
+from ..operators import availability, media, models
 from ..operators import manifest as mf
 from ..sinks import files
 from ..sources import discovery, documents
 from .runner import PROCESSORS, RECIPES, Run, pick, recorded, register
 
-READERS: dict[str, Callable[[dict], models.FrameReader]] = {"fake": lambda o: models.FakeReader(o.get("width", 640), o.get("height", 480))}
+READERS: dict[str, Callable[[dict], models.FrameReader]] = {
+    "fake": lambda o: models.FakeReader(o.get("width", 640), o.get("height", 480)),
+    "ffmpeg": lambda o: media.FfmpegReader(o.get("ffmpeg", "ffmpeg"), o.get("ffprobe", "ffprobe")),
+}
 DETECTORS: dict[str, Callable[[dict], models.Detector]] = {"null": lambda o: models.WholeFrameDetector()}
 POSES: dict[str, Callable[[dict], models.PoseEstimator]] = {"fake": lambda o: models.FakePose(o.get("size", 133))}
-WRITERS: dict[str, Callable[[dict], models.ClipWriter]] = {}
+WRITERS: dict[str, Callable[[dict], models.ClipWriter]] = {"ffmpeg": lambda o: media.FfmpegWriter(o.get("ffmpeg", "ffmpeg"), o.get("codec", "libx264"))}
 DEFAULT_FPS = 30.0
 
 

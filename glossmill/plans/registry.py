@@ -7,7 +7,6 @@ nation and region for class maps, embeddings for landmark clips and boxes, order
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +69,12 @@ def normalize_text_lower_strip(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.normalise(F.col("text"), fix_encoding=False, lowercase=True, strip_punctuation=True).alias("TEXT"))
 
 
-@query("SELECT c_custkey, 'Café ' || c_name AS TEXT FROM customer")
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Café ' || c_name WHEN 1 THEN 'it’s “' || c_name || '”' WHEN 2 THEN '“Käse” ' || c_name ELSE 'Ã ' || c_name END AS TEXT FROM customer")
 def repair_encoding(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", tx.normalise(F.concat(F.lit("CafÃ©  "), "c_name")).alias("TEXT"))
+    """UTF-8 that was read as Latin-1, or as Windows-1252, is repaired; text that is right, or can't be read so, stays."""
+    cases = [F.concat(F.lit("CafÃ©  "), "c_name"), F.concat(F.lit("itâ€™s â€œ"), "c_name", F.lit("â€\x9d")), F.concat(F.lit("“Käse” "), "c_name"), F.concat(F.lit("Ã "), "c_name")]
+    raw = F.element_at(F.array(*cases), (F.col("c_custkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", tx.normalise(raw).alias("TEXT"))
 
 
 @query('SELECT event_id AS SAMPLE_ID, user_id AS VIDEO_ID, value AS START, value + 1 AS "END", event_type AS TEXT, props AS CAPTION FROM events')
@@ -198,7 +200,7 @@ def corpus_video_match(spark, sf_dir):
 def union_splits(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     parts = [items.where(F.col("l_returnflag") == f).select("l_orderkey", "l_linenumber", "l_partkey", F.lit(name).alias("SPLIT"), *([F.col("l_tax").alias("tax")] if f == "A" else [])) for f, name in (("A", "train"), ("N", "val"), ("R", "test"))]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return builders.stacked(parts)
 
 
 @query(r"""SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]v=([A-Za-z0-9_-]{11})', 1), ''), nullif(regexp_extract(url, 'youtu\.be/([A-Za-z0-9_-]{11})', 1), ''), left(string_split(url, '/')[-1], 11)) AS VIDEO_ID,
@@ -259,7 +261,15 @@ _SPAN = "SELECT conv_id::VARCHAR AS VIDEO_ID, max(turn * 5.0 + length(text) / 10
     SELECT VIDEO_ID || '_w' || printf('%03d', i) AS SAMPLE_ID, VIDEO_ID, round(a, 6)::DOUBLE AS START, round(b, 6)::DOUBLE AS "END" FROM w WHERE b - a >= 2""")
 def sliding_windows(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("SAMPLE_ID"), F.col("conv_id").cast("string").alias("VIDEO_ID"), (F.col("turn") * 5.0).alias("START"), (F.col("turn") * 5.0 + F.length("text") / 100.0).alias("END"))
-    return mf.windowed(mf.video_spans(turns, ["SAMPLE_ID"]), 10.0, 5.0, 2.0, even=True)
+    return mf.windowed(mf.video_spans(turns, ["SAMPLE_ID"]), 10.0, 5.0, 2.0)
+
+
+@query("""WITH s AS (SELECT l_orderkey::VARCHAR AS VIDEO_ID, sum(l_quantity) AS e FROM lineitem GROUP BY 1), w AS (SELECT VIDEO_ID, i, i * 2.5 AS a, least(i * 2.5 + 30, e) AS b FROM s, range(0, 1000) t(i) WHERE i * 2.5 < e AND e >= 2.5)
+    SELECT VIDEO_ID || '_w' || printf('%03d', i) AS SAMPLE_ID, VIDEO_ID, a::DOUBLE AS START, b::DOUBLE AS "END" FROM w WHERE b - a >= 2.5""")
+def sliding_windows_even(spark, sf_dir):
+    """Windows whose starts are products: exact for strides that sums represent exactly."""
+    spans = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("VIDEO_ID")).agg(F.sum("l_quantity").alias("SPAN"))
+    return mf.windowed(spans, 30.0, 2.5, 2.5, even=True)
 
 
 @query("SELECT o_custkey, arg_min(o_orderkey, o_orderkey) AS o_orderkey, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey")
@@ -294,17 +304,20 @@ def _boxes(spark, sf_dir):
 _BOX = "SELECT label, vec_id, least(embedding[1], embedding[2])::DOUBLE AS x1, least(embedding[3], embedding[4])::DOUBLE AS y1, greatest(embedding[1], embedding[2])::DOUBLE AS x2, greatest(embedding[3], embedding[4])::DOUBLE AS y2 FROM embeddings"
 
 
-@query(f"SELECT label, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM ({_BOX}) GROUP BY label")
+@query(f"SELECT vec_id // 50 AS clip, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM ({_BOX}) GROUP BY 1")
 def bbox_union_all(spark, sf_dir):
-    return _boxes(spark, sf_dir).groupBy("label").agg(F.min("box.x1").alias("x1"), F.min("box.y1").alias("y1"), F.max("box.x2").alias("x2"), F.max("box.y2").alias("y2"))
+    """The box around all detections of a clip of 50."""
+    clips = _boxes(spark, sf_dir).groupBy(F.floor(F.col("vec_id") / 50).alias("clip")).agg(boxes.union(F.collect_list("box")).alias("u"))
+    return clips.select("clip", "u.*")
 
 
-@query(f"""WITH b AS ({_BOX}), f AS (SELECT label, vec_id % 10 AS frame, arg_max(struct_pack(x1, y1, x2, y2), ((x2 - x1) * (y2 - y1), -vec_id)) AS m FROM b GROUP BY 1, 2)
-    SELECT label, min(m.x1) AS x1, min(m.y1) AS y1, max(m.x2) AS x2, max(m.y2) AS y2 FROM f GROUP BY label""")
+@query(f"""WITH b AS ({_BOX}), f AS (SELECT vec_id // 50 AS clip, vec_id // 5 AS frame, arg_max(struct_pack(x1, y1, x2, y2), ((x2 - x1) * (y2 - y1), -vec_id)) AS m FROM b GROUP BY 1, 2)
+    SELECT clip, min(m.x1) AS x1, min(m.y1) AS y1, max(m.x2) AS x2, max(m.y2) AS y2 FROM f GROUP BY clip""")
 def bbox_union_largest(spark, sf_dir):
-    size = boxes.area(F.col("box"))
-    best = _boxes(spark, sf_dir).groupBy("label", (F.col("vec_id") % 10).alias("frame")).agg(F.max_by("box", F.struct(size, -F.col("vec_id"))).alias("m"))
-    return best.groupBy("label").agg(F.min("m.x1").alias("x1"), F.min("m.y1").alias("y1"), F.max("m.x2").alias("x2"), F.max("m.y2").alias("y2"))
+    """Clips of ten frames with five detections each; of every frame the largest counts, the first of equals."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "box"))), lambda x: x["box"])
+    frames = _boxes(spark, sf_dir).groupBy(F.floor(F.col("vec_id") / 50).alias("clip"), F.floor(F.col("vec_id") / 5).alias("frame")).agg(ordered.alias("detections"))
+    return frames.groupBy("clip").agg(boxes.union_of_largest(F.collect_list("detections")).alias("u")).select("clip", "u.*")
 
 
 _PIX = f"SELECT vec_id, (x1 + 1) * 320 AS x1, (y1 + 1) * 240 AS y1, (x2 + 1) * 320 AS x2, (y2 + 1) * 240 AS y2 FROM ({_BOX})"
@@ -328,8 +341,8 @@ def area_filter(spark, sf_dir):
 
 @query("SELECT l_orderkey, count(*) = count(DISTINCT l_linenumber) AS single FROM lineitem GROUP BY l_orderkey")
 def single_person(spark, sf_dir):
-    frames = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("people"))
-    return frames.groupBy("l_orderkey").agg((F.max("people") <= 1).alias("single"))
+    frames = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.collect_list("l_quantity").alias("people"))
+    return frames.groupBy("l_orderkey").agg(boxes.single_person(F.collect_list("people")).alias("single"))
 
 
 _INDICES = [3, 0, 15, 7]
@@ -369,10 +382,12 @@ def mask_low_visibility(spark, sf_dir):
     return landmarks.mask(_clips(spark, sf_dir), low_confidence=True, threshold=0.1)
 
 
-@query("SELECT label AS clip, vec_id AS t, len(embedding) // 4 * 2 AS numbers FROM embeddings")
+@query(f"""WITH m AS ({_LONG}), e AS ({_ENDS}), s AS (SELECT clip, t, k, round(((x - x0)::DOUBLE / greatest(xr, yr))::FLOAT::DOUBLE, 5) AS x, round(((y - y0)::DOUBLE / greatest(xr, yr))::FLOAT::DOUBLE, 5) AS y FROM e)
+    SELECT clip, t, (2 * k)::INTEGER AS i, x AS value FROM s UNION ALL SELECT clip, t, (2 * k + 1)::INTEGER, y FROM s""")
 def flatten_without_z(spark, sf_dir):
+    """The whole recipe without depth: every number of every frame, in its place."""
     out = landmarks.normalise(_clips(spark, sf_dir), remove_z=True)
-    return out.select("clip", "t", F.size("values").cast("bigint").alias("numbers"))
+    return out.select("clip", "t", F.posexplode("values").alias("i", "v")).select("clip", "t", "i", F.round(F.col("v").cast("double"), 5).alias("value"))
 
 
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard_id FROM documents")
@@ -431,9 +446,11 @@ def timing_exists(spark, sf_dir):
     return mf.has_timing(table(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("START"), F.col("o_custkey").alias("END")))
 
 
-@query()
+@query("""WITH r AS (SELECT sha256('{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_brand":"' || p_brand || '","p_size":' || p_size || '}') AS d FROM part),
+    l AS (SELECT substr(d, 1, 4) AS leaf, sha256(string_agg(d, '' ORDER BY d)) AS h FROM r GROUP BY 1)
+    SELECT sha256('p_partkey,p_name,p_brand,p_size:' || string_agg(h, '' ORDER BY leaf)) AS content_hash FROM l""")
 def manifest_hash(spark, sf_dir):
-    return mf.content_hash(table(spark, sf_dir, "nation"))
+    return mf.content_hash(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
 
 
 @query("SELECT o_orderkey, o_custkey AS VIDEO_ID, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1)::INTEGER AS idx FROM orders")
@@ -454,11 +471,16 @@ def bbox_merge(spark, sf_dir):
     return joins.boxes_by_sample(s.select(F.col("s_suppkey").cast("string").alias("SAMPLE_ID")), found).select("SAMPLE_ID", "BBOX_X1", "PERSON_DETECTED")
 
 
-@query("SELECT vec_id, (list_position(embedding[1:16], list_max(embedding[1:16])) - 1)::BIGINT AS x_bin, CASE WHEN least(list_max(embedding[1:16]), list_max(embedding[17:32])) > 0 THEN (list_position(embedding[1:16], list_max(embedding[1:16])) - 1) / 2.0 ELSE -1.0 END AS x FROM embeddings")
+_BIN = "list_position(embedding[{0}:{1}], list_max(embedding[{0}:{1}])) - 1"
+_SEEN = "least(list_max(embedding[1:16]), list_max(embedding[17:32])) > 0"
+
+
+@query(f"""SELECT vec_id, CASE WHEN {_SEEN} THEN ({_BIN.format(1, 16)}) / 2.0 ELSE -1 END::DOUBLE AS x, CASE WHEN {_SEEN} THEN ({_BIN.format(17, 32)}) / 2.0 ELSE -1 END::DOUBLE AS y,
+    CASE WHEN {_SEEN} THEN (({_BIN.format(33, 48)}) / 8.0 - 1) * 2 ELSE -1 END::DOUBLE AS z, least(list_max(embedding[1:16]), list_max(embedding[17:32])) AS score FROM embeddings""")
 def simcc_decode(spark, sf_dir):
     part = lambda i: F.slice("embedding", 16 * i + 1, 16)
-    p = landmarks.decode_bins(part(0), part(1), part(2), 2.0, 1.0, 16)
-    return table(spark, sf_dir, "embeddings").select("vec_id", (F.array_position(part(0), F.array_max(part(0))) - 1).alias("x_bin"), p["x"].alias("x"))
+    p = landmarks.decode_bins(part(0), part(1), part(2), 2.0, 2.0, 16)
+    return table(spark, sf_dir, "embeddings").select("vec_id", p.alias("p")).select("vec_id", "p.*")
 
 
 @query("SELECT label, round(avg(sqrt(power(embedding[1]::DOUBLE - embedding[5], 2) + power(embedding[2]::DOUBLE - embedding[6], 2) + power(embedding[3]::DOUBLE - embedding[7], 2))), 6) AS error FROM embeddings WHERE embedding[4] > 0 GROUP BY label")
