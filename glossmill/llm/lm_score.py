@@ -10,7 +10,10 @@ those. To score, a block asks the model's buckets for its distinct n-grams and g
 counts back; of these it builds its part of the automaton. A state is a context that was seen in training. A seen n-gram
 is an arc with the log of its smoothed probability; the failure arc of a state leads to the context without its first
 word and weighs mu / (c(h) + mu), which is exactly the factor of unseen words. One traversal from left to right carries the
-state and adds up the weights. N-grams are known by 64-bit hashes.
+states of many texts at once and adds up their weights. N-grams are known by 64-bit hashes.
+
+A block asks for each order by itself and sends every bucket of the hash range one message; a bucket serves several blocks,
+so that messages are few and full. There are never more messages than n-grams.
 
 What a block asks for is combined before any shuffle, so that a word that makes up a third of all tokens is one number
 of each block.
@@ -22,7 +25,6 @@ rows are counted and scored each; an empty corpus gives an empty table; extra co
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -37,6 +39,8 @@ from . import arrowtext, scratch
 #: Bytes of text of a block; tokens that a counting task combines at once.
 BLOCK_BYTES = 4 << 20
 BUCKET_BLOCKS = 4
+#: Tokens of a long text that are traversed as one stretch.
+LANE = 256
 COMBINED = 3_000_000
 _END = np.uint64(0xA5A5F00D12345677)
 
@@ -246,7 +250,7 @@ class Automaton:
         codes, place = grams.codes, grams.place
         index, seen, prob, state = [], [], [], []
         arcs_key, arcs_lp, arcs_to = [], [], []
-        self.backoff, self.fail = [0.0], [0]
+        self.backoff, self.fail = [np.zeros(1)], [np.zeros(1, np.int64)]
         states = 1
         ends = codes == grams.types
         for k in range(1, order + 1):
@@ -268,39 +272,69 @@ class Automaton:
                 new = np.flatnonzero((c > 0) & ~ends[at])
                 own[new] = states + np.arange(len(new))
                 states += len(new)
-                self.backoff += (np.log10(mu) - np.log10(c[new] + mu)).tolist()
-                self.fail += ([0] * len(new) if k == 1 else state[-1][index[-1][at[new]]].tolist())
+                self.backoff.append(np.log10(mu) - np.log10(c[new] + mu))
+                self.fail.append(np.zeros(len(new), np.int64) if k == 1 else state[-1][index[-1][at[new]]])
             shorter = np.zeros(len(at), np.int64) if k == 1 else np.maximum(state[-1][index[-1][at]], 0)
             to = np.where(own >= 0, own, shorter)
             to[ends[at]] = 0
             pick = np.flatnonzero(real)
             arcs_key.append(source[pick] * words + codes[at[pick]])
             arcs_lp.append(np.log10(p[pick]))
-            arcs_to.append(to[pick] * words)
+            arcs_to.append(to[pick])
             index.append(where)
             seen.append(c)
             prob.append(p)
             state.append(own)
-        keys = np.concatenate(arcs_key)
-        self.words = words
-        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
-        self.weight = array("d", np.concatenate(arcs_lp).tobytes())
-        self.target = array("q", np.concatenate(arcs_to).astype(np.int64).tobytes())
+        keys, to = np.concatenate(arcs_key), np.concatenate(arcs_to)
+        by = np.argsort(keys)
+        self.order, self.words, self.arcs, self.weight, self.target = order, words, keys[by], np.concatenate(arcs_lp)[by], to[by]
+        self.root = np.searchsorted(self.arcs, np.arange(words))  # state 0 has an arc for every word
+        self.backoff, self.fail = np.concatenate(self.backoff), np.concatenate(self.fail)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one word each, and the weights on the way: failure arcs until a state has an arc for the word."""
+        state, total, open_ = state.copy(), np.zeros(len(state)), np.arange(len(state))
+        while len(open_):
+            s, w = state[open_], word[open_]
+            at = self.root[w]
+            deep = np.flatnonzero(s)
+            key = s[deep] * self.words + w[deep]
+            at[deep] = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            found = np.ones(len(open_), bool)
+            found[deep] = self.arcs[at[deep]] == key
+            hit, miss = open_[found], open_[~found]
+            total[hit] += self.weight[at[found]]
+            state[hit] = self.target[at[found]]
+            total[miss] += self.backoff[state[miss]]
+            state[miss] = self.fail[state[miss]]
+            open_ = miss
+        return state, total
+
+    def weights(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The weight of every token on its text's path from left to right.
+
+        Many texts are traversed at once, and a long one in stretches of ``LANE`` tokens. A state depends on the last
+        order - 1 tokens only, so that a stretch begins so many tokens early, without counting their weights.
+        """
+        parts = -(-lengths // LANE)
+        first = np.repeat(np.cumsum(lengths) - lengths, parts)
+        offset = LANE * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        begin, end = first + offset, first + np.minimum(offset + LANE, np.repeat(lengths, parts))
+        at = np.maximum(first, begin - (self.order - 1))
+        by = np.argsort(at - end, kind="stable")  # the longest first, so that those that go on are in front
+        at, begin, end = at[by], begin[by], end[by]
+        steps, state, out = end - at, np.zeros(len(at), np.int64), np.zeros(len(codes))
+        for i in range(int(steps.max(initial=0))):
+            n = int(np.searchsorted(-steps, -i))
+            place = at[:n] + i
+            state[:n], weight = self.step(state[:n], codes[place])
+            own = place >= begin[:n]
+            out[place[own]] = weight[own]
+        return out
 
     def score(self, codes: list[int]) -> float:
         """The sum of the weights along the path of a text."""
-        arcs, weight, target, backoff, fail, words = self.arcs.get, self.weight, self.target, self.backoff, self.fail, self.words
-        total, state = 0.0, 0
-        for w in codes:
-            arc = arcs(state + w)
-            while arc is None:
-                s = state // words
-                total += backoff[s]
-                state = fail[s] * words
-                arc = arcs(state + w)
-            total += weight[arc]
-            state = target[arc]
-        return total
+        return float(self.weights(np.array(codes, np.int64), np.array([len(codes)])).sum())
 
 
 def _scored(order: int, key: str, tokens: int, types: int, mu: float):
@@ -309,15 +343,14 @@ def _scored(order: int, key: str, tokens: int, types: int, mu: float):
         grams = _grams(row, order)
         found = sorted(zip(replies.column("k").to_pylist(), replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()))
         counts = [np.concatenate([arrowtext.unpack_small(c) for k, _, c in found if k == n] or [np.zeros(0, np.int64)]) for n in range(1, order + 1)]
-        automaton = Automaton(grams, counts, tokens, types, mu)
-        codes, scores, ends = grams.codes, [], np.cumsum(grams.lengths)
-        for a, b in zip((ends - grams.lengths).tolist(), ends.tolist()):
-            scores.append(automaton.score(codes[a:b].tolist()))
+        ends = np.cumsum(grams.lengths)
+        weights = Automaton(grams, counts, tokens, types, mu).weights(grams.codes, grams.lengths)
         _, inverse = np.unique(grams.at[0], return_inverse=True)
         c = counts[0][inverse].astype(np.float64)
         of_text = np.repeat(np.arange(len(ends)), grams.lengths)
         base = np.bincount(of_text, weights=np.log10((c + 0.5) / (tokens + 0.5 * (types + 1))), minlength=len(ends))
         n_known = np.bincount(of_text, weights=c > 0, minlength=len(ends)).astype(np.int64)
+        scores = np.bincount(of_text, weights=weights, minlength=len(ends))
         keys = pa.ipc.open_stream(row["keys"]).read_all().column(0)
         return pa.table({key: keys, "held_out": pa.array(np.frombuffer(row["held"], bool)), "n_tokens": pa.array(grams.lengths, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(ends), tokens), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
 
