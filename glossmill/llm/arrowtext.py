@@ -39,9 +39,9 @@ def _compact(text: pa.Array, lower: bool) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(text), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(np.ascontiguousarray(data)))
 
 
-def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words in UTF-8, the codes of all words in order, and the words of each text. Words are runs without ASCII
-    white space; A-Z are lowered."""
+def coded(text: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, the codes of all words in order, and the words of each text. Words are runs without ASCII white
+    space; A-Z are lowered."""
     lists = pc.ascii_split_whitespace(_compact(text.cast(pa.large_string()), lower))
     counts, flat = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
     blank = pc.equal(pc.binary_length(flat), 0)  # before and after white space at the ends
@@ -49,8 +49,14 @@ def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray,
         at = np.repeat(np.arange(len(counts)), counts)
         counts = counts - np.bincount(at[blank.to_numpy(zero_copy_only=False)], minlength=len(counts))
         flat = flat.filter(pc.invert(blank))
-    coded = flat.dictionary_encode()
-    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
+    found = flat.dictionary_encode()
+    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts
+
+
+def words(text: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """As ``coded``, with the distinct words in UTF-8."""
+    dictionary, codes, counts = coded(text, lower)
+    return dictionary.cast(pa.large_binary()).to_pylist(), codes, counts
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

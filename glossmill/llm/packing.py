@@ -16,12 +16,15 @@ each; an empty table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+import string
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -30,16 +33,44 @@ from . import arrowtext
 TIERS = (2048, 1024, 512, 256)
 #: Words and marks that a worker remembers; they are forgotten when there are so many.
 MEMO = 1_500_000
-# Marks that may follow letters, and the end of the Latin letters whose classes all Unicode versions share.
-_MARKS, _LATIN_END = b".,;:!?", "\u0250"
+# Marks that may follow letters; and the Latin letters whose classes and lower cases all Unicode versions share,
+# without the one that becomes a letter and a mark when lowered.
+_MARKS = string.punctuation
+_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_LETTERS = re.compile(f"[{_LATIN}]+")
 _LOADED: dict[str, WordEncoder] = {}
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that byte-level models write for each byte: printable bytes are themselves, the others follow from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_characters()
+
+
+def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Lowered letters and the marks after them; a word of any other form stays whole, without marks."""
+    core = pc.ascii_rtrim(words, characters=_MARKS)
+    plain = pc.match_substring_regex(core, f"^[{_LATIN}]+$")
+    some = np.asarray(plain.to_numpy(zero_copy_only=False), bool)
+    size = lambda x: x.value_lengths() if hasattr(x, "value_lengths") else pc.binary_length(x)
+    whole, kept = size(words).to_numpy(zero_copy_only=False).astype(np.int64), size(core).to_numpy(zero_copy_only=False).astype(np.int64)
+    n = np.where(some, whole - kept, 0)
+    ends = np.cumsum(n)
+    starts = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words)] + kept
+    at = np.repeat(starts - (ends - n), n) + np.arange(n.sum())
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at]
+    marks = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+    return pc.if_else(plain, pc.utf8_lower(core), words), marks
+
+
 class WordEncoder:
     """Ids of whole texts from ids of words. The tokenizer drops white space and never joins across it, so that the ids of a
     text are those of its words in order; nor does it join letters with the marks after them, and it lowers letters. So a
-    word is known by its letters and by its marks, and each of these goes through the tokenizer once. A word that is more
-    than letters when lowered (U+0130 becomes i and a combining dot, which joins the marks) stays whole.
+    word of Latin letters is known by its letters, lowered, and by its marks, and each of these goes through the tokenizer once.
 
     What is known is kept in flat arrays: the ids of entry i end at ends[i]. Entry 0 is empty.
     """
@@ -51,54 +82,57 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Words are parted only if this tokenizer parts them, and plain letters skip its pipeline only if that leaves them alone.
+        # Words are parted only if this tokenizer parts them at every mark, and a letter skips its pipeline only if that does
+        # nothing to it but lower it and write its bytes; every letter and mark is tried.
         whole = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.parts = all(whole(f"Wo{c}rd,; Élan{c}!") == [i for x in (f"wo{c}rd", ",;", f"Élan{c}", "!") for i in whole(x)] for c in "abcdefghijklmnopqrstuvwxyz")
-        self.plain = all(whole(c * 3 + "zq") == [t.id for t in self.tokenizer.model.tokenize(c * 3 + "zq")] for c in "abcdefghijklmnopqrstuvwxyz")
+        letters = [chr(c) for c in range(0x250) if _LETTERS.fullmatch(chr(c))]
+        self.parts = all(whole(f"Wo{c}r{m}") == [*whole(f"wo{c.lower()}r"), *whole(m)] for m in (*_MARKS, *(f"{m}{n}" for m, n in zip(_MARKS, _MARKS[1:]))) for c in "aé")
+        self.parts &= all(whole(f"{c}b{c}.,") == [*whole(f"{c.lower()}b{c.lower()}"), *whole(".,")] for c in letters)
+        self.plain = all(whole(f"{c}q{c}") == self._letters(f"{c}q{c}".lower()) for c in letters)
         self.forget()
 
+    def _letters(self, word: str) -> list[int]:
+        """Ids of lowered letters, by the model alone."""
+        if not word.isascii():
+            word = "".join([_BYTES[b] for b in word.encode()])
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
     def forget(self) -> None:
-        self.entries: dict[bytes, int] = {b"": 0}
+        self.entries: dict[str, int] = {"": 0}
         self.flat, self.ends = array("I"), array("q", [0])
 
-    @staticmethod
-    def parted(word: bytes) -> tuple[bytes, bytes]:
-        """Letters and the marks after them; a word of any other form stays whole."""
-        core = word.rstrip(_MARKS)
-        if core.isalpha():  # ASCII letters only
-            return core.lower(), word[len(core) :]
-        if len(core) < len(word) and core and not core.isascii():
-            text = core.decode()
-            if text.isalpha() and max(text) < _LATIN_END and text.lower().isalpha():
-                return core, word[len(core) :]
-        return word, b""
-
-    def learn(self, words: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.entries]
-        letters = [w for w in new if self.plain and w.isalpha() and w.islower()]  # ASCII only
-        if letters:
-            model = self.tokenizer.model
-            for w in letters:
-                self._keep(w, [t.id for t in model.tokenize(w.decode())])
-            new = [w for w in new if w not in self.entries]
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                self._keep(w, e.ids)
-
-    def _keep(self, word: bytes, ids: list[int]) -> None:
+    def learn(self, words: list[str]) -> None:
+        """Words that aren't known yet, each once."""
+        rest, keep, letters, is_letters = [], self._keep, self._letters, _LETTERS.fullmatch
+        for w in words:
+            if self.plain and is_letters(w) and w == w.lower():
+                keep(w, letters(w))
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 10_000):
+            some = rest[at : at + 10_000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                keep(w, e.ids)
+
+    def _keep(self, word: str, ids: list[int]) -> None:
         self.entries[word] = len(self.ends)
         self.flat.extend(ids)
         self.ends.append(len(self.flat))
 
+    def _known(self, words: pa.Array) -> np.ndarray:
+        """The entry of each word."""
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self.learn([w for w in names if w not in self.entries])
+        return np.fromiter(map(self.entries.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy(zero_copy_only=False)]
+
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text closed by end_id; the number of ids of each text."""
-        dictionary, codes, counts = arrowtext.words(text, lower=False)
+        dictionary, codes, counts = arrowtext.coded(text, lower=False)
         if len(self.entries) + len(dictionary) > MEMO:
             self.forget()
-        parts = [p for w in dictionary for p in (self.parted(w) if self.parts else (w, b""))]
-        self.learn(parts)
-        entry = np.array([self.entries[p] for p in parts], np.int64).reshape(-1, 2)
+        cores, marks = parted(dictionary) if self.parts else (dictionary, pa.array([""] * len(dictionary), pa.large_string()))
+        entry = np.stack([self._known(cores), self._known(marks)], axis=1)
         ends = np.frombuffer(self.ends, np.int64)
         firsts = np.concatenate([[0], ends[:-1]])
         flat = np.append(np.frombuffer(self.flat, np.uint32), np.uint32(end_id)) if len(self.flat) else np.array([end_id], np.uint32)
