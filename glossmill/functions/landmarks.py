@@ -136,6 +136,13 @@ def from_pixels(point: Column, width: Column, height: Column) -> Column:
     return F.struct((point["x"] / width).alias("x"), (point["y"] / height).alias("y"), point["z"].alias("z"), point["score"].alias("v"))
 
 
+def packed(keypoints: Column, scores: Column, width: Column, height: Column) -> Column:
+    """A model's key points (arrays x, y, z) and their scores as landmarks; null where either is missing or they don't match."""
+    point = lambda k, s: F.struct(k[0].alias("x"), k[1].alias("y"), k[2].alias("z"), s.alias("score"))
+    frame = F.zip_with(keypoints, scores, lambda k, s: from_pixels(point(k, s), width, height))
+    return F.when(keypoints.isNotNull() & scores.isNotNull() & (F.size(keypoints) == F.size(scores)), frame)
+
+
 def decode_bins(xs: Column, ys: Column, zs: Column, split: float, z_range: float, z_bins: int) -> Column:
     """A location from three lists of bin scores: the first highest bin of each; the lower of x's and y's maxima is the
     score, and without a positive one there is no location (-1)."""

@@ -39,7 +39,7 @@ def wanted_wlasl(rows: DataFrame) -> DataFrame:
 
 def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str = "drop_unavailable", pause: float = 0.2, step: float = 0.1, most: float = 2.0, stop_on_block: bool = True, sleep: Callable[[float], None] = time.sleep, log: Callable[[str, str], object] | None = None) -> tuple[dict, list[tuple[str, str]]]:
     """({wanted, downloaded, errors, blocked}, [(VIDEO_ID, REASON)]). One after another, by id; every error lengthens the
-    pause. The ids stream to the driver, which fetches: the far side's pace is the bound, not the cluster's. With ``log``
+    pause, if there is one. The ids stream to the driver, which fetches: the far side's pace is the bound, not the cluster's. With ``log``
     each failure goes there and only the first is kept."""
 
     def note(video_id: str, why: str) -> None:
@@ -63,7 +63,7 @@ def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str
         except Exception as e:  # a video's failure is its reason
             note(row[0], str(e))
             stats["errors"] += 1
-            pause = min(most, pause + step)
+            pause = min(most, pause + step) if pause else 0.0
         sleep(pause)
     if policy == "fail_fast" and missing:
         raise RuntimeError(f"{len(missing)} videos couldn't be fetched, such as {missing[0]}")

@@ -32,6 +32,11 @@ def _folder(run: Run, *more: str) -> str:
     return "/".join([run.config["paths"]["output"], run.config["run_name"], *more])
 
 
+def usable(df: DataFrame) -> DataFrame:
+    """Rows that have a sample and all of their times."""
+    return df.dropna(subset=[c for c in ("SAMPLE_ID", "START", "END") if c in df.columns])
+
+
 def _planned(run: Run, rate: float | None, whole: bool = False) -> DataFrame:
     """The manifest's rows with VIDEO_PATH and the numbers of the frames to read."""
     df = run.manifest
@@ -123,7 +128,7 @@ def video2compression(spark: SparkSession, run: Run, options: dict) -> tuple[Run
 @register(PROCESSORS, "clip_video")
 def clip_video(spark: SparkSession, run: Run, options: dict) -> tuple[Run, DataFrame]:
     """Each timed segment as a clip of its own."""
-    rows = _planned(run, None).dropna(subset=["SAMPLE_ID", "START", "END"])
+    rows = usable(_planned(run, None))
     target = F.concat(F.lit(_folder(run, "clips") + "/"), "SAMPLE_ID", F.lit(".mp4"))
     return _write(run, "clip_video", rows.withColumns({"TARGET": target, "crop": F.lit(None).cast("struct<w:int,h:int,x:int,y:int,fps:double,to_w:int,to_h:int>")}), options)
 

@@ -133,7 +133,7 @@ def build_autsl(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT s_suppkey, (s_suppkey % 120)::INTEGER AS sentence, CASE WHEN s_suppkey % 5 = 0 THEN 0 ELSE (s_suppkey % 45 + 1)::INTEGER END AS signer, s_name || ' signs' AS t FROM supplier),
-    v AS (SELECT (c_custkey % 50)::INTEGER AS signer, (c_custkey % 120)::INTEGER AS sentence, (c_custkey % 3)::INTEGER AS variation, printf('%03d_%03d_%02d', c_custkey % 50, c_custkey % 120, c_custkey % 3) AS stem FROM customer WHERE c_custkey < 900)
+    v AS (SELECT (c_custkey % 50)::INTEGER AS signer, (c_custkey % 120)::INTEGER AS sentence, (c_custkey % 3)::INTEGER AS variation, printf('%03d_%03d_%02d', c_custkey % 50, c_custkey % 120, c_custkey % 3) AS stem FROM customer)
     SELECT printf('%03d_%03d_%02d', c.signer, c.sentence, coalesce(v.variation, 0)) AS SAMPLE_ID, coalesce(v.stem, printf('%03d_%03d_%02d', c.signer, c.sentence, 0)) AS VIDEO_ID,
         coalesce('color/' || v.stem || '.mp4', '') AS REL_PATH, CASE WHEN c.signer BETWEEN 1 AND 40 THEN 'train' WHEN c.signer BETWEEN 41 AND 50 THEN 'test' ELSE 'unknown' END AS SPLIT, t AS TEXT, c.signer::VARCHAR AS SIGNER_ID,
         coalesce(v.variation, 0)::VARCHAR AS VARIATION_ID, 30::DOUBLE AS FPS
@@ -147,7 +147,7 @@ def build_csl(spark, sf_dir):
     extra = spark.createDataFrame([("# a comment",), ("   ",), ("x\t1\tno sentence",), ("alone",)], "value string")
     corpus = tables.csl_corpus(spark, _lines(extra.unionByName(s.select(line.alias("value"))), work_folder(spark, "corpus")))
     stem = F.format_string("%03d_%03d_%02d", F.col("c_custkey") % 50, F.col("c_custkey") % 120, F.col("c_custkey") % 3)
-    listed = table(spark, sf_dir, "customer").where("c_custkey < 900").select(stem.alias("stem"))
+    listed = table(spark, sf_dir, "customer").select(stem.alias("stem"))
     listed = listed.unionByName(spark.createDataFrame([("1_x_2",), ("notes",)], "stem string"))
     return builders.csl(corpus, documents.csl_videos(listed.withColumn("rel_path", F.concat(F.lit("color/"), "stem", F.lit(".mp4")))))
 
@@ -164,13 +164,13 @@ def csl_split_spec(spark, sf_dir):
     return builders.csl(corpus, none, spec=spec).select("SAMPLE_ID", "SPLIT")
 
 
-@query("""WITH f AS (SELECT DISTINCT l_linenumber + l_orderkey % 20 AS c, l_partkey % 12 + 1 AS s, l_suppkey % 5 + 1 AS r FROM lineitem WHERE l_orderkey < 2000), g AS (SELECT *, printf('%03d_%03d_%03d', c, s, r) AS stem FROM f)
+@query("""WITH f AS (SELECT DISTINCT l_linenumber + l_orderkey % 20 AS c, l_partkey % 12 + 1 AS s, l_suppkey % 5 + 1 AS r FROM lineitem), g AS (SELECT *, printf('%03d_%03d_%03d', c, s, r) AS stem FROM f)
     SELECT 'raw-' || stem AS SAMPLE_ID, stem AS VIDEO_ID, stem || '.mp4' AS REL_PATH, c::BIGINT AS CLASS_ID, s::VARCHAR AS SIGNER_ID, r::BIGINT AS REPETITION_ID, 60::DOUBLE AS FPS,
         CASE WHEN s <= 8 THEN 'train' WHEN s = 9 THEN 'val' WHEN s = 10 THEN 'test' ELSE 'unknown' END AS SPLIT, n_name AS GLOSS, CASE WHEN n_nationkey % 2 = 0 THEN 'R' WHEN n_nationkey IS NOT NULL THEN 'B' END AS HANDEDNESS
     FROM g LEFT JOIN nation ON c = n_nationkey""")
 def build_lsa64(spark, sf_dir):
     """LSA64's names of three numbers, its class map with the hands, and its signers' split."""
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey < 2000")
+    rows = table(spark, sf_dir, "lineitem")
     stem = F.format_string("%03d_%03d_%03d", F.col("l_linenumber") + F.col("l_orderkey") % 20, F.col("l_partkey") % 12 + 1, F.col("l_suppkey") % 5 + 1)
     names = rows.select(stem.alias("stem")).distinct().unionByName(spark.createDataFrame([("001_002",), ("a_b_c",)], "stem string"))
     facts = documents.name_facts(names.withColumn("rel_path", F.concat("stem", F.lit(".mp4"))))
@@ -250,12 +250,12 @@ def build_phoenix(spark, sf_dir):
     return builders.phoenix({n: tables.phoenix(spark, _csv(df, work_folder(spark, n), "|")) for n, df in (("dev", dev), ("test", test))})
 
 
-@query("SELECT p_name || '_' || p_partkey AS stem, p_partkey % 2 = 0 AS \"AVAILABLE\" FROM part WHERE p_partkey % 8 < 4")
+@query("SELECT p_name || '_' || p_partkey AS stem, p_partkey % 2 = 0 AS \"AVAILABLE\" FROM part")
 def listed_videos(spark, sf_dir):
     """Files of videos in folders and of other kinds are listed, and the availability of a manifest follows."""
-    p = table(spark, sf_dir, "part").where("p_partkey % 8 < 4")
+    p = table(spark, sf_dir, "part")
     stem = F.concat("p_name", F.lit("_"), _text("p_partkey"))
-    suffix = F.when(F.col("p_partkey") % 8 == 0, "mp4").when(F.col("p_partkey") % 8 == 2, "webm").otherwise("txt")
+    suffix = F.when(F.col("p_partkey") % 4 == 0, "mp4").when(F.col("p_partkey") % 4 == 2, "webm").otherwise("txt")
     folder = _blobs(p.select(F.concat(F.lit("in a/"), stem, F.lit("."), suffix).alias("name"), F.lit("x").alias("payload")), work_folder(spark, "videos"))
     return availability.by_id(p.select(stem.alias("stem")), documents.stems(spark, folder), "mark_unavailable", "stem")
 
@@ -291,12 +291,13 @@ def tar_round_trip(spark, sf_dir):
     return documents.tar_members(spark, folder).select("shard", "key", "ext", F.sha2("payload", 256).alias("sha"))
 
 
-@query("SELECT l_orderkey::VARCHAR || '-' || l_linenumber AS SAMPLE_ID, CASE WHEN l_linenumber = 1 THEN 'given/' || l_orderkey || '.avi' WHEN l_orderkey % 4 = 0 THEN 'v' || l_orderkey || '.webm' ELSE 'v' || l_orderkey || '.mp4' END AS path FROM lineitem WHERE l_orderkey < 400")
+@query("SELECT o_orderkey::VARCHAR AS SAMPLE_ID, CASE o_orderkey % 4 WHEN 1 THEN 'given/' || o_orderkey || '.avi' WHEN 0 THEN 'v' || o_orderkey || '.webm' ELSE 'v' || o_orderkey || '.mp4' END AS path FROM orders")
 def resolved_paths(spark, sf_dir):
-    """A given path first, then the file that is there, then the usual suffix."""
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey < 400")
-    m = rows.select(F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("SAMPLE_ID"), F.concat(F.lit("v"), _text("l_orderkey")).alias("VIDEO_ID"), F.when(F.col("l_linenumber") == 1, F.concat(F.lit("given/"), _text("l_orderkey"), F.lit(".avi"))).otherwise(" ").alias("REL_PATH"))
-    listed = rows.where("l_orderkey % 4 = 0").select(F.explode(F.array(*(F.concat(F.lit("v"), _text("l_orderkey"), F.lit(x)) for x in (".webm", ".avi")))).alias("rel_path")).distinct()
+    """A given path first, then the file that is there, of several the usual suffix, then the usual suffix without a file."""
+    o = table(spark, sf_dir, "orders")
+    m = o.select(_text("o_orderkey").alias("SAMPLE_ID"), F.concat(F.lit("v"), _text("o_orderkey")).alias("VIDEO_ID"), F.when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit("given/"), _text("o_orderkey"), F.lit(".avi"))).otherwise(" ").alias("REL_PATH"))
+    kinds = F.when(F.col("o_orderkey") % 4 == 0, F.array(F.lit(".avi"), F.lit(".webm"))).when(F.col("o_orderkey") % 4 == 2, F.array(F.lit(".mov"), F.lit(".mp4"))).otherwise(F.array(F.lit(".txt")))
+    listed = o.select(F.concat(F.lit("v"), _text("o_orderkey")).alias("v"), F.explode(kinds).alias("x")).select(F.concat("v", "x").alias("rel_path"))
     return mf.resolve_paths(m, listed, "/base").select("SAMPLE_ID", F.replace("VIDEO_PATH", F.lit("/base/"), F.lit("")).alias("path"))
 
 

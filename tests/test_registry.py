@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from glossmill.plans import registry, registry_files
+from glossmill.plans import registry, registry_files, registry_jobs
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -29,7 +29,7 @@ def plain(v):
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_sql(spark, duck, name):
-    df = (registry.QUERIES | registry_files.QUERIES)[name](spark, SF)
+    df = (registry.QUERIES | registry_files.QUERIES | registry_jobs.QUERIES)[name](spark, SF)
     columns = sorted(df.columns)
     want = duck.sql(registry.ORACLES[name])
     assert sorted(want.columns) == columns
