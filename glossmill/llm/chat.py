@@ -6,7 +6,8 @@ any number of backslashes and a bar gets one more backslash; hence no control st
 backslash away gives the text again. A line break in a role is written ``<|im_nl|>``.
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role, text), null turns first, so ties and
-repeated rows have a fixed order and all stay; a null conv_id is a conversation of its own; extra columns are ignored.
+repeated rows have a fixed order and all stay; a row without a conv_id belongs to no other and is a conversation of its
+own, so that such rows aren't collected; extra columns are ignored, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def format_chats(turns: DataFrame, assistant: str = "assistant") -> DataFrame:
     """
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     turn = F.struct(F.col("turn").alias("turn"), blank("role").alias("role"), blank("text").alias("text"))
-    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn), _by_turn).alias("turns"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("own")
+    rows = turns.select("conv_id", own, turn.alias("turn")).groupBy("conv_id", "own").agg(F.array_sort(F.collect_list("turn"), _by_turn).alias("turns"))
     first = F.filter(
         F.sequence(F.lit(0), F.size("turns") - 1),
         lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", F.greatest(i - 1, F.lit(0)))["role"]),

@@ -42,15 +42,41 @@ def test_shards_grow_into_the_new_one_only(spark):
 
 CHATS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "a<|im_end|>b"), (1, 2, "assistant", "c <\\|im_sep|> <\\\\|x"), (1, 3, "user", None),
-    (2, None, "assistant", "first"), (2, 5, "us\ner", "<|im_start|>assistant\nx<"), (2, 5, "us\ner", "<|im_start|>assistant\nx<"), (3, 1, None, ""), (None, 1, "user", "|im_end|>"),
+    (2, None, "assistant", "first"), (2, 5, "us\ner", "<|im_start|>assistant\nx<"), (2, 5, "us\ner", "<|im_start|>assistant\nx<"), (3, 1, None, ""), (None, 1, "user", "|im_end|>"), (None, 2, "assistant", "alone"),
 ]
 
 
+def test_slots_of_a_row_that_is_repeated_very_often(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") < 50_000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit(1).alias("slot"))
+    out = sharding.number_slots(sharding.assign_shards(df, "doc_id", 3), "shard", cell_rows=1000)
+    assert out.columns == ["doc_id", "shard", "slot"]
+    bad = out.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slot").alias("d"), F.min("slot").alias("a"), F.max("slot").alias("b")).where("n <> d or a <> 0 or b <> n - 1")
+    assert out.count() == 60_000 and bad.isEmpty()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") <= 3
+
+
+def test_query_columns_of_sharding(spark):
+    import zlib
+
+    from glossmill.llm import queries
+
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = queries.QUERIES["op3_jump_sharding"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(texts) and {r["law"] for r in got} == {"key"}
+    for r in got:
+        raw = texts[r["doc_id"]].encode()
+        assert r["size"] == len(raw) + 8 and r["text_crc32"] == zlib.crc32(raw) and r["shard"] == jump(r["doc_id"], 24) and r["grown_shard"] == jump(r["doc_id"], 25)
+    for s in range(24):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+
+
 def test_chats_read_back(spark):
     df = spark.createDataFrame([(*c, "more") for c in CHATS], "conv_id long, turn long, role string, text string, formatted string")
     out = chat.format_chats(df).select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("pieces")).alias("loss"), "formatted").collect()
     low = lambda x: (x is not None, x or 0)
-    for r in out:
+    assert sorted(r["loss"] for r in out if r["conv_id"] is None) == ["", "alone"]  # rows without a conversation stay apart
+    for r in (r for r in out if r["conv_id"] is not None):
         want = sorted(((t, role or "", text or "") for c, t, role, text in CHATS if c == r["conv_id"]), key=lambda x: (low(x[0]), x[1:]))
         assert [tuple(t) for t in r["turns"]] == [x[1:] for x in want]
         assert r["loss"] == "".join(x[2] for x in want if x[1] == "assistant")
