@@ -38,8 +38,9 @@ POSE_DEFAULTS = {
 VIDEO_DEFAULTS = {"codec": "libx264", "padding": 0.0, "resize": None}
 NORMALIZE_DEFAULTS = {"mode": "xy_isotropic_z_minmax", "remove_z": False, "select_keypoints": True, "keypoint_preset": None, "keypoint_indices": None, "mask_empty_frames": True, "mask_low_confidence": False, "visibility_threshold": 0.3, "missing_value": -999.0}
 TEXT_DEFAULTS = {"fix_encoding": True, "normalize_whitespace": True, "lowercase": False, "strip_punctuation": False}
+LANGUAGES = ["en", "ase", "en-US", "en-CA", "en-GB", "en-AU", "en-NZ", "en-IN", "en-ZA", "en-IE", "en-SG", "en-PH", "en-NG", "en-PK", "en-JM"]
 SOURCE_DEFAULTS: dict[str, dict[str, Any]] = {
-    "youtube_asl": {"max_text_length": 300, "min_duration": 0.2, "max_duration": 60.0, "availability_policy": "drop_unavailable", "stop_on_transcript_block": True},
+    "youtube_asl": {"languages": LANGUAGES, "max_text_length": 300, "min_duration": 0.2, "max_duration": 60.0, "availability_policy": "drop_unavailable", "stop_on_transcript_block": True},
     "how2sign": {"split": "all", "manifest_csv": ""},
     "openasl": {"text_column": "en", "availability_policy": "drop_unavailable"},
     "autsl": {"split": "train", "modality": "rgb", "availability_policy": "fail_fast", "allow_unlabeled": False},

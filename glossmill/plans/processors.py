@@ -16,6 +16,7 @@ from ..operators import availability, media, models
 from ..operators import manifest as mf
 from ..sinks import files
 from ..sources import discovery, documents
+from . import weights
 from .runner import PROCESSORS, RECIPES, Run, pick, recorded, register
 
 READERS: dict[str, Callable[[dict], models.FrameReader]] = {
@@ -23,6 +24,8 @@ READERS: dict[str, Callable[[dict], models.FrameReader]] = {
     "ffmpeg": lambda o: media.FfmpegReader(o.get("ffmpeg", "ffmpeg"), o.get("ffprobe", "ffprobe")),
 }
 DETECTORS: dict[str, Callable[[dict], models.Detector]] = {"null": lambda o: models.WholeFrameDetector()}
+#: What a detector's settings go through before its backend sees them.
+SETTINGS: dict[str, Callable[[dict], dict]] = {"yolo": lambda o: {**o, "model": weights.resolve(o["model"], o["allow_download"], o["weights_dir"])}}
 POSES: dict[str, Callable[[dict], models.PoseEstimator]] = {"fake": lambda o: models.FakePose(o.get("size", 133))}
 WRITERS: dict[str, Callable[[dict], models.ClipWriter]] = {"ffmpeg": lambda o: media.FfmpegWriter(o.get("ffmpeg", "ffmpeg"), o.get("codec", "libx264"))}
 DEFAULT_FPS = 30.0
@@ -58,7 +61,7 @@ def _counted(run: Run, stage: str, done: DataFrame, **more) -> Run:
 
 
 def _backends(options: dict) -> tuple[Callable, Callable, int]:
-    settings = options.get("detection_config") or {}
+    settings = SETTINGS.get(options["detection"], dict)(options.get("detection_config") or {})
     make_reader, make_detector = pick(READERS, options.get("reader", "fake")), pick(DETECTORS, options["detection"])
     return (lambda: make_reader(settings)), (lambda: make_detector(settings)), int(settings.get("batch_size", 16))
 

@@ -15,7 +15,7 @@ from ..operators import manifest as mf
 from ..session import work_folder
 from ..sinks import files
 from ..sources import discovery, documents
-from . import acquirers, adapters, processors, runner
+from . import acquirers, adapters, processors, runner, weights
 from . import config as cfg
 from .registry import _BOX, ORACLES, Query, _boxes, table
 
@@ -384,6 +384,25 @@ def releases(spark, sf_dir):
     return spark.createDataFrame(out, "dataset string, files string, validated string, found string")
 
 
+_MODELS = [
+    ("yolo11m", "yolo11m.pt"), (" yolov8n.pt ", "yolov8n.pt"), ("yolov9c", "yolov9c.pt"), ("yolov11m", "did you mean 'yolo11m.pt'"), ("yolov26x.pt", "did you mean 'yolo26x.pt'"), ("resnet", "families: yolov8, yolov9, yolo11, yolo26"),
+    ("https://hub.ultralytics.com/models/abc", "https://hub.ultralytics.com/models/abc"), ("http://host:8000/v2/models/pose", "http://host:8000/v2/models/pose"), ("grpc://host/v2/models/pose", "grpc://host/v2/models/pose"), ("https://example.org/w/best.pth", "https://example.org/w/best.pth"),
+]
+
+
+@query(_values(_MODELS, "model, resolved"))
+def model_names(spark, sf_dir):
+    """What a detector's model name means: short names, slips of the pen, links, hubs and servers."""
+
+    def said(model: str) -> str:
+        try:
+            return weights.resolve(model)
+        except ValueError as e:
+            return str(e).split("; ", 1)[1].rstrip("?")
+
+    return spark.createDataFrame([(m, said(m)) for m, _ in _MODELS], "model string, resolved string")
+
+
 # Fixed values, as the datasets' documentation has them.
 _SETTINGS = [
     ("autsl", "allow_unlabeled", "false"), ("autsl", "availability_policy", '"fail_fast"'), ("autsl", "modality", '"rgb"'), ("autsl", "split", '"train"'),
@@ -394,14 +413,14 @@ _SETTINGS = [
     ("rwth_phoenix_weather", "availability_policy", '"drop_unavailable"'), ("rwth_phoenix_weather", "fps", "25.0"), ("rwth_phoenix_weather", "prepare_mode", '"validate"'), ("rwth_phoenix_weather", "split", '"all"'),
     ("slovo", "availability_policy", '"fail_fast"'), ("slovo", "background_labels", '["no_event"]'), ("slovo", "class_map_mode", '"bundled"'), ("slovo", "include_background", "true"), ("slovo", "split", '"all"'),
     ("wlasl", "availability_policy", '"drop_unavailable"'), ("wlasl", "download_mode", '"validate"'), ("wlasl", "split", '"all"'), ("wlasl", "subset", "0"),
-    ("youtube_asl", "availability_policy", '"drop_unavailable"'), ("youtube_asl", "max_duration", "60.0"), ("youtube_asl", "max_text_length", "300"), ("youtube_asl", "min_duration", "0.2"), ("youtube_asl", "stop_on_transcript_block", "true"),
+    ("youtube_asl", "availability_policy", '"drop_unavailable"'), ("youtube_asl", "languages", '["en", "ase", "en-US", "en-CA", "en-GB", "en-AU", "en-NZ", "en-IN", "en-ZA", "en-IE", "en-SG", "en-PH", "en-NG", "en-PK", "en-JM"]'), ("youtube_asl", "max_duration", "60.0"), ("youtube_asl", "max_text_length", "300"), ("youtube_asl", "min_duration", "0.2"), ("youtube_asl", "stop_on_transcript_block", "true"),
 ]
 
 
 @query(_values(_SETTINGS, "dataset, name, value"))
 def source_settings(spark, sf_dir):
     """Every dataset's settings, as a job gets them that names the dataset only."""
-    rows = [(d, k, json.dumps(v)) for d in cfg.SOURCE_DEFAULTS for k, v in cfg.check({"dataset": d})["dataset"]["source"].items() if k != "languages"]
+    rows = [(d, k, json.dumps(v)) for d in cfg.SOURCE_DEFAULTS for k, v in cfg.check({"dataset": d})["dataset"]["source"].items()]
     return spark.createDataFrame(rows, "dataset string, name string, value string")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,10 +87,18 @@ def csl_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def class_map(spark: SparkSession, path: str, extras: tuple[str, ...] = ()) -> DataFrame:
-    """(CLASS_ID, GLOSS, extras that are there) of a class map; ids that are no numbers are null."""
+    """(CLASS_ID, GLOSS, extras that are there) of a class map; ids that are no numbers are null. Extras that are missing and ids
+    that repeat are warned of."""
     names = header(spark, path, "\t")
     df = delimited(spark, path, "\t", ("CLASS_ID", "GLOSS"), ", ".join(f"`{c}` string" for c in names))
-    return df.select(tx.real(F.col("CLASS_ID")).cast("long").alias("CLASS_ID"), "GLOSS", *(c for c in extras if c in names))
+    missing = [c for c in extras if c not in names]
+    if missing:
+        warnings.warn(f"{path} has no columns {missing}", stacklevel=2)
+    classes = df.select(tx.real(F.col("CLASS_ID")).cast("long").alias("CLASS_ID"), "GLOSS", *(c for c in extras if c in names))
+    repeated = classes.groupBy("CLASS_ID").count().where("count > 1").orderBy("CLASS_ID").limit(10).collect()  # ten at most
+    if repeated:
+        warnings.warn(f"{path} repeats classes {[r['CLASS_ID'] for r in repeated]}", stacklevel=2)
+    return classes
 
 
 def split_spec(spark: SparkSession, path: str) -> DataFrame:
