@@ -114,12 +114,3 @@ def unpack_small(data: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
-
-
-def pack_bytes(values: np.ndarray) -> bytes:
-    """Numbers below 256."""
-    return zstandard.compress(values.tobytes(), 1)
-
-
-def unpack_bytes(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), np.uint8)

@@ -12,8 +12,7 @@ is an arc with the log of its smoothed probability; the failure arc of a state l
 word and weighs mu / (c(h) + mu), which is exactly the factor of unseen words. One traversal from left to right carries the
 states of many texts at once and adds up their weights. N-grams are known by 64-bit hashes.
 
-A block asks for each order by itself and sends every bucket of the hash range one message; a bucket serves several blocks,
-so that messages are few and full. There are never more messages than n-grams.
+A block asks for each order by itself, by way of ``exchange``: the messages are in proportion to the blocks.
 
 What a block asks for is combined before any shuffle, so that a word that makes up a third of all tokens is one number
 of each block.
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import arrowtext, scratch
+from . import arrowtext, exchange, scratch
 
 #: Bytes of text of a block; tokens that a counting task combines at once.
 BLOCK_BYTES = 4 << 20
@@ -215,32 +214,6 @@ def _answered(asked: pa.Table, model: pa.Table) -> pa.Table:
     return pa.table({"_block": asked.column("_block"), "bucket": asked.column("bucket"), "k": asked.column("k"), "counts": pa.array(counts, pa.binary())})
 
 
-def _counted_answers(asked: pa.Table) -> pa.Table:
-    """The sums of the counts of one bucket, given back to every block that asked. Block -1 gets the bucket's training
-    tokens and distinct words."""
-    rows: dict[int, list] = {}
-    for block, k, h, c in zip(asked.column("_block").to_pylist(), asked.column("k").to_pylist(), asked.column("hashes").to_pylist(), asked.column("counts").to_pylist()):
-        rows.setdefault(k, []).append((block, arrowtext.unpack_sorted(h), arrowtext.unpack_small(c)))
-    bucket, out = asked.column("bucket")[0].as_py(), []
-    for k, parts in rows.items():
-        _, inverse = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([p[2] for p in parts])).astype(np.int64)
-        at = 0
-        for block, values, _ in parts:
-            out.append((block, bucket, k, arrowtext.pack_small(total[inverse[at : at + len(values)]])))
-            at += len(values)
-        if k == 1:
-            out.append((-1, bucket, 1, arrowtext.pack_small(np.array([total.sum(), (total > 0).sum()]))))
-    columns = list(zip(*out))
-    return pa.table({"_block": pa.array(columns[0], pa.int64()), "bucket": pa.array(columns[1], pa.int32()), "k": pa.array(columns[2], pa.int32()), "counts": pa.array(columns[3], pa.binary())})
-
-
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sums = [arrowtext.unpack_small(c) for c in batch.column("counts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([int(x[0]) for x in sums], pa.int64()), pa.array([int(x[1]) for x in sums], pa.int64())], ["n", "v"])
-
-
 class Automaton:
     """The part of the backoff automaton that some texts can reach. State 0 has no context; its arcs cover all words."""
 
@@ -371,12 +344,29 @@ def score(corpus: DataFrame, model: Model, kind: str = "long", key: str = "doc_i
     return _finished(corpus, replies, model.order, model.tokens, model.types, kind, key, mu)
 
 
-def score_own(corpus: DataFrame, order: int = 2, kind: str = "long", key: str = "doc_id", mu: float = 50.0) -> DataFrame:
+def _own(k: int, bits: int):
+    """What every block asks of its k-grams, with how often its training texts have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grams = _grams(row, k)
+                trained, wanted = np.repeat(~np.frombuffer(row["held"], bool), grams.lengths), grams.place >= k - 1
+                values, inverse = np.unique(grams.at[k - 1][wanted], return_inverse=True)
+                rows = exchange.messages(row["_block"], values, np.bincount(inverse[trained[wanted]], minlength=len(values)), 64, bits)
+                columns = list(zip(*rows)) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["asker", "prefix", "hashes", "counts"])
+
+    return run
+
+
+def score_own(corpus: DataFrame, order: int = 2, kind: str = "long", key: str = "doc_id", mu: float = 50.0, bits: int = exchange.BITS, merged: int = exchange.MERGED) -> DataFrame:
     """As ``score`` by the model of the corpus's own training texts. One exchange for each order both counts and asks, so that
     neither the model nor a second copy of the n-grams is written, and only one order's n-grams are on disk at a time."""
-    run, bits = scratch.Run(corpus.sparkSession), bucket_bits(corpus)
+    run, blocks = scratch.Run(corpus.sparkSession), corpus.select("_block").count()
     rows = corpus.select("_block", "held", "hashes", "codes", "lengths")
-    replies = [run.keep(rows.mapInArrow(_asked((k,), bits), _ASKED).groupBy("bucket").applyInArrow(_counted_answers, _REPLY), "lm-replies") for k in range(1, order + 1)]
-    sums = replies[0].where("_block = -1").select("counts").mapInArrow(_sizes, "n long, v long")
-    row = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
-    return _finished(corpus, reduce(DataFrame.unionByName, replies).where("_block >= 0"), order, int(row["n"]), int(row["v"]), kind, key, mu)
+    replies = [exchange.answer(rows.mapInArrow(_own(k, bits), exchange.ASKED), blocks, 64, BUCKET_BLOCKS, run, bits=bits, merged=merged) for k in range(1, order + 1)]
+    types, tokens, _, _ = exchange.totals(replies[0])
+    told = [r.where("asker >= 0").select(F.col("asker").alias("_block"), F.col("prefix").alias("bucket"), F.lit(k).alias("k"), "counts") for k, r in enumerate(replies, 1)]
+    return _finished(corpus, reduce(DataFrame.unionByName, told), order, tokens, types, kind, key, mu)

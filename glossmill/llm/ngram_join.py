@@ -15,8 +15,8 @@ that many documents share hence fills no list, and what only one text has needs
 The boundary is chosen by cost over the sizes that the corpus has: subsets of the light sets, against rare shingles of the
 heavy ones times the mean length of a list.
 
-Texts are read once, into written blocks. A block asks the buckets of the hash range how often its shingles occur, gets the
-answers back, and deals out the keys of its sets, subsets and rare shingles, after combining them: of the sets that meet
+Texts are read once, into written blocks. A block asks the corpus, by way of ``exchange``, how often its shingles occur, gets
+the answers back, and deals out the keys of its sets, subsets and rare shingles, after combining them: of the sets that meet
 under a key inside a block only the first goes on, so that a key that a third of all rows have is one entry of each block.
 
 Sets that meet under some key form clusters; links inside a cluster are then decided exactly, from its sets, by scanning
@@ -43,13 +43,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import arrowtext, scratch
+from . import arrowtext, exchange, scratch
 
 #: Sizes up to which a boundary is looked for. A set of this size has tens of thousands of subsets and a handful of rare shingles.
 LIGHT_MOST = 32
-#: Bytes of text of a block, and of a bucket of the hash range.
+#: Bytes of text of a block; blocks' worth of shingles that a task counts, and bytes of text whose keys make a bucket.
 BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BLOCKS = 2
+KEY_BYTES = 64 << 20
 #: Shingles of a task that decides links, and of a cluster from which on it is compared in blocks.
 TASK_SHINGLES = 100_000
 CLUSTER_SHINGLES = 200_000
@@ -148,9 +149,10 @@ _FACTS = {"kind": pa.int32(), "uid": pa.int64(), "size": pa.int64(), "digest": p
 _FACTS_SQL = "kind int, uid long, size long, digest binary, block long, bucket int, hashes binary, codes binary, words binary, uids binary, fresh binary, counts binary"
 
 
-def _facts(n: int, bits: int, bucket_bits: int):
-    """Of every row (uid, key, text) its size and the digest of its set (kind 0); of every block its words (kind 1), and by
-    bucket its distinct shingles, cut to ``bits`` bits, with the number of its different sets that have them (kind 2)."""
+def _facts(n: int, bits: int, prefix_bits: int):
+    """Of every row (uid, key, text) its size and the digest of its set (kind 0); of every block its words (kind 1), and its
+    messages to the exchange: its distinct shingles, cut to ``bits`` bits, with the number of its different sets that have
+    them (kind 2; the prefix is the bucket)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 33
@@ -169,42 +171,14 @@ def _facts(n: int, bits: int, bucket_bits: int):
                 words=[arrowtext.pack_small(counts)], uids=[arrowtext.pack_small(uid)], fresh=[fresh.tobytes()],
             )
             cut, count = np.unique(values[np.repeat(fresh, sizes)] >> np.uint64(64 - bits), return_counts=True)
-            parts = _parts((cut >> np.uint64(bits - bucket_bits)).astype(np.int64))
-            yield _batch(
-                types, len(parts), kind=[2] * len(parts), block=[block] * len(parts), bucket=[p for p, _, _ in parts],
-                hashes=[arrowtext.pack_sorted(cut[a:b]) for _, a, b in parts], counts=[arrowtext.pack_small(count[a:b]) for _, a, b in parts],
-            )
+            asked = exchange.messages(block, cut, count, bits, prefix_bits)
+            columns = [list(c) for c in zip(*asked)] or [[]] * 4
+            yield _batch(types, len(asked), kind=[2] * len(asked), block=columns[0], bucket=columns[1], hashes=columns[2], counts=columns[3])
             block += 1
 
     return run
 
 
-_REPLIES = "block long, bucket int, counts binary"
-
-
-def _answered(asked: pa.Table) -> pa.Table:
-    """For every message the counts of its shingles over all blocks, at most 255. Block -1 gets the bucket's shingles that
-    several sets have, and the sum of their counts."""
-    parts = [arrowtext.unpack_sorted(h) for h in asked.column("hashes").to_pylist()]
-    own = np.concatenate([arrowtext.unpack_small(c) for c in asked.column("counts").to_pylist()])
-    cut, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(inverse, weights=own, minlength=len(cut)).astype(np.int64)
-    said, at, out = np.minimum(total, 255).astype(np.uint8)[inverse], 0, []
-    for p in parts:
-        out.append(arrowtext.pack_bytes(said[at : at + len(p)]))
-        at += len(p)
-    several = total > 1
-    out.append(arrowtext.pack_small(np.array([several.sum(), total[several].sum()])))
-    bucket = asked.column("bucket")[0].as_py()
-    return pa.table({"block": pa.array([*asked.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()), "counts": pa.array(out, pa.binary())})
-
-
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sums = [arrowtext.unpack_small(c) for c in batch.column("counts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([int(x[0]) for x in sums], pa.int64()), pa.array([int(x[1]) for x in sums], pa.int64())], ["shingles", "seen"])
-
-
 def keys_of(values: np.ndarray, sizes: np.ndarray, count: np.ndarray, law: Sizes) -> tuple[np.ndarray, np.ndarray]:
     """(keys, number of the set) of all keys of some sets, whose shingles have the given counts."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -244,8 +218,8 @@ def _keyed(n: int, bits: int, bucket_bits: int, law: Sizes):
         values, sizes = sets_of(arrowtext.unpack_sorted(row["hashes"]), arrowtext.unpack_small(row["codes"]), arrowtext.unpack_small(row["words"]), n)
         uid, fresh = arrowtext.unpack_small(row["uids"]), np.frombuffer(row["fresh"], bool)
         asked = np.unique(values[np.repeat(fresh, sizes)] >> np.uint64(64 - bits))
-        said = sorted((b, c) for b, c in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist()) if b >= 0)
-        total = np.concatenate([arrowtext.unpack_bytes(c) for _, c in said] or [np.zeros(0, np.uint8)])
+        said = sorted((b, c) for b, c in zip(replies.column("prefix").to_pylist(), replies.column("counts").to_pylist()) if b >= 0)
+        total = np.concatenate([arrowtext.unpack_small(c) for _, c in said] or [np.zeros(0, np.int64)])
         copies = [u for x in replies.column("copies").to_pylist() if x for u in x]
         lead = fresh & (sizes > 0) & ~np.isin(uid, np.array(copies, np.int64))
         values = values[np.repeat(lead, sizes)]
@@ -472,32 +446,31 @@ def _cluster_links(clusters: DataFrame, sets: DataFrame, percent: int, run: scra
     return out if large.isEmpty() else out.unionByName(_in_blocks(large, sets, percent, run))
 
 
-def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, boundary: int | None = None, run: scratch.Run | None = None) -> DataFrame:
+def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, boundary: int | None = None, run: scratch.Run | None = None, prefix_bits: int = exchange.BITS, merged: int = exchange.MERGED) -> DataFrame:
     """(uid, key, n_shingles, component_id, first) of every row of docs, which has a unique long column uid. component_id is
     the smallest key of the component; first is true for exactly one row of each component, which has that key."""
     run = run or scratch.Run(docs.sparkSession)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
     bits = min(60, 32 + max(0, math.ceil(math.log2(max(1, size / (128 << 20))))))  # some 200 values for each shingle
-    bucket_bits = min(30, math.ceil(math.log2(max(8, size / BUCKET_BYTES))))
+    bucket_bits = min(30, math.ceil(math.log2(max(8, size / KEY_BYTES))))
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select("uid", F.col(key).alias("key"), F.col(text).alias("text"))
-    facts = run.keep(rows.mapInArrow(_facts(n, bits, bucket_bits), f"{_FACTS_SQL}, key {kind}"), "facts")
+    facts = run.keep(rows.mapInArrow(_facts(n, bits, prefix_bits), f"{_FACTS_SQL}, key {kind}"), "facts")
 
     sets = run.keep(facts.where("kind = 0").select("uid", "key", "size", "digest", "block"), "sets")
     several = sets.where("size > 0").groupBy("digest").agg(F.min("uid").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     several = run.keep(several.select("digest", "lead"), "several")
     same = run.keep(sets.join(several, "digest").where("uid <> lead").select(F.col("uid").alias("u"), F.col("lead").alias("v"), "block"), "same")
-    asked = facts.where("kind = 2").select("block", "bucket", "hashes", "counts")
-    replies = run.keep(asked.groupBy("bucket").applyInArrow(_answered, _REPLIES), "replies")
+    blocks = facts.where("kind = 1").select("block", "hashes", "codes", "words", "uids", "fresh")
+    asked = facts.where("kind = 2").select(F.col("block").alias("asker"), F.col("bucket").cast("long").alias("prefix"), "hashes", "counts")
+    replies = exchange.answer(asked, blocks.count(), bits, BUCKET_BLOCKS, run, 255, prefix_bits, merged)
     if boundary is None:
         histogram = sets.where(F.col("size").between(1, LIGHT_MOST)).groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()
-        sums = replies.where("block = -1").select("counts").mapInArrow(_sums, "shingles long, seen long").agg(F.sum("shingles").alias("a"), F.sum("seen").alias("b")).first()
-        scan = sums["b"] / sums["a"] if sums["a"] else 1.0
-        boundary = choose_boundary({r["size"]: r["n"] for r in histogram}, percent, scan)
-    blocks = facts.where("kind = 1").select("block", "hashes", "codes", "words", "uids", "fresh")
+        _, _, listed, seen = exchange.totals(replies)
+        boundary = choose_boundary({r["size"]: r["n"] for r in histogram}, percent, seen / listed if listed else 1.0)
     copies = same.groupBy("block").agg(F.collect_list("u").alias("copies"))  # of one block
-    told = replies.where("block >= 0").withColumn("copies", F.lit(None).cast("array<long>"))
-    told = told.unionByName(copies.select("block", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("counts"), "copies"))
+    told = replies.where("asker >= 0").select(F.col("asker").alias("block"), "prefix", "counts", F.lit(None).cast("array<long>").alias("copies"))
+    told = told.unionByName(copies.select("block", F.lit(-1).cast("long").alias("prefix"), F.lit(None).cast("binary").alias("counts"), "copies"))
     keyed = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_keyed(n, bits, bucket_bits, Sizes(percent, boundary)), _KEYS_SQL)
     keyed = run.keep(keyed, "keyed")
     run.drop(replies, facts)

@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.llm import arrowtext, byte_bpe, lm_score, ngram_join, ordinal, packing, scratch, secrets, topk
+from glossmill.llm import arrowtext, byte_bpe, exchange, lm_score, ngram_join, ordinal, packing, scratch, secrets, topk
 
 ODD = [
     None, "", " ", "\n\n  x", "it's  they'LL a b  c \n\n d\x1ce\x85", "日本語のテキスト 1234567 ½²", "🙂🙃" * 3, "\x00\x01 \t tab", "a" * 3000, "don't!!! ---==>>> x", "İΣς ﬁ",
@@ -192,6 +192,7 @@ def test_automaton_scores_like_the_formula(spark, sample, order):
     for i, w in enumerate(tok):
         assert got[i]["score"] == pytest.approx(want[i], rel=1e-9) and got[i]["n_tokens"] == len(w) and got[i]["train_tokens"] == total
         assert own[i] == got[i]
+        assert own[i]["held_out"] == (i % 5 == 1) and own[i]["n_known"] <= len(w)
     empty = lm_score.blocks(df.limit(0), held)
     assert lm_score.score(empty, lm_score.train(empty)).count() == lm_score.score_own(empty).count() == 0
 
@@ -346,6 +347,39 @@ def test_join_finds_all_components(spark, n, percent, boundary):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=key) == sorted(brute_components(data, n, percent), key=key)
 
 
+@pytest.mark.parametrize("bits,merged,each", [(1, 2, 1), (2, 3, 1), (6, 64, 4)])
+def test_exchange_sums_over_all_askers(spark, bits, merged, each):
+    rng = np.random.default_rng(bits)
+    asks, rows, total = {}, [], Counter()
+    for asker in range(23):
+        values = np.unique(rng.integers(0, 2**10, rng.integers(0, 200)).astype(np.uint64))
+        counts = rng.integers(0, 4, len(values))
+        asks[asker] = values
+        total.update(dict(zip(values.tolist(), counts.tolist())))
+        rows += exchange.messages(asker, values, counts, 10, bits)
+    asked = spark.createDataFrame(rows, exchange.ASKED).repartition(5)
+    replies = exchange.answer(asked, 23, 10, each, scratch.Run(spark), bits=bits, merged=merged)
+    got = {}
+    for r in replies.where("asker >= 0").orderBy("asker", "prefix").collect():
+        got.setdefault(r["asker"], []).extend(arrowtext.unpack_small(r["counts"]).tolist())
+    assert got == {a: [total[x] for x in v.tolist()] for a, v in asks.items() if len(v)}
+    some, several = [c for c in total.values() if c > 0], [c for c in total.values() if c > 1]
+    assert exchange.totals(replies) == [len(some), sum(some), len(several), sum(several)]
+
+
+def test_more_levels_give_the_same_results(spark, sample, monkeypatch):
+    for module in (lm_score, ngram_join):
+        monkeypatch.setattr(module, "BUCKET_BLOCKS", 1)
+    df = docs(spark, [*sample[:40], *sample[:9], None, "a b c d"]).repartition(12).cache()
+    corpus = lm_score.blocks(df, F.col("doc_id") % 5 == 1)
+    assert corpus.count() > 8
+    want = {r["doc_id"]: r for r in lm_score.score_own(corpus, order=2).collect()}
+    assert {r["doc_id"]: r for r in lm_score.score_own(corpus, order=2, bits=1, merged=2).collect()} == want
+    rows = ngram_join.numbered(df.select("doc_id", "text"))
+    want = sorted(tuple(r) for r in ngram_join.components(rows).collect())
+    assert sorted(tuple(r) for r in ngram_join.components(rows, prefix_bits=1, merged=2).collect()) == want
+
+
 def test_large_clusters_are_dealt_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CLUSTER_SHINGLES", 600)
     rng = random.Random(3)
