@@ -6,8 +6,9 @@ neighbours aren't compatible. Two tokens are compatible if merging their joined
 them alone; the answer is memoised for each pair. A place that turned out to be dead is never entered again, so the
 work is linear in the piece.
 
-Defined cases: a null text is empty and has no ids; texts of any length are encoded whole; every row gives one row, ties
-and repeated rows too; other columns of the input are passed through untouched when named.
+Defined cases: a null text is empty and has no ids; a null key stays one; texts of any length are encoded whole; every row
+gives one row, repeated rows too; an empty table gives an empty table; columns beyond key and text are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

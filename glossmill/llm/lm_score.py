@@ -18,7 +18,7 @@ What a block asks for is combined before any shuffle, so that a word that makes
 of each block.
 
 Defined cases: a null text is empty and consists of the end token; a null doc_id belongs to the training texts; repeated
-rows are counted and scored each; an empty corpus gives an empty table; extra columns are ignored.
+rows are counted and scored each; an empty corpus gives an empty table; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -490,6 +490,20 @@ def test_cutoffs_are_safe():
     assert out.num_rows == 30 and (np.array(out.column(1)) <= tenth[np.array(out.column(0))]).all()
 
 
+def test_names_that_clash_and_null_keys(spark):
+    names = ("_held", "texts", "ids", "start", "score", "rank", "n_tokens", "found", "uid", "kept")
+    df = spark.createDataFrame([(None, "a b c", *["mine"] * len(names)), (None, "a b c", *["mine"] * len(names)), (3, None, *["mine"] * len(names))], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    scored = lm_score.score_own(lm_score.blocks(df, F.col("doc_id") == 3)).collect()
+    assert sorted((r["doc_id"] is None, r["held_out"], r["n_tokens"], r["train_tokens"]) for r in scored) == [(False, True, 1, 8), (True, False, 4, 8), (True, False, 4, 8)]
+    ids = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r["doc_id"] is None, bytes(r["decoded"])) for r in ids) == [(False, b""), (True, b"a b c"), (True, b"a b c")]
+    pieces = packing.pack(df, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert sum(r["length"] for r in pieces) == 4 + 4 + 1 and {r["doc_tokens"] for r in pieces if r["doc_id"] == 3} == {1}
+    vectors = spark.createDataFrame([(i, [float(i)], "mine", "mine") for i in range(4)], "q long, cut array<double>, score string, rank string")
+    top = topk.exact_top_k(vectors, vectors.where("q = 3"), k=2).orderBy("rank").collect()
+    assert [tuple(r) for r in top] == [(3, 1, 2, 2048 * 3072), (3, 2, 1, 1024 * 3072)]
+
+
 def test_packed_lists():
     values = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2))
     assert (arrowtext.unpack_sorted(arrowtext.pack_sorted(values)) == values).all()
