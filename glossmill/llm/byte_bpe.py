@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,9 +25,11 @@ from pyspark.sql import DataFrame
 from . import arrowtext
 
 #: Segments that a worker remembers; the memo is emptied when it is full.
-MEMO = 400_000
-# ASCII white space splits texts into segments; the others send a text to the pattern as a whole.
+MEMO = 600_000
+# ASCII white space splits texts into segments, the others send a text to the pattern as a whole; marks that may
+# follow letters, and the end of the Latin letters whose class all Unicode versions share.
 _SEGMENT = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
+_MARKS, _LATIN_END = string.punctuation, "\u0250"
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _LOADED: dict[tuple[str, str], Encoder] = {}
 
@@ -56,8 +59,15 @@ class Encoder:
             self.shorter[rank] = next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if self.ranks.get(token[:n]) in self.halves), -1)
         if ranks:
             self.automaton.make_automaton()
-        self.pieces: dict[str, list[int]] = {}
-        self.memo: dict[str, tuple[list[int], str, bytes]] = {}
+        # What is remembered are tuples of plain values, which the garbage collector leaves alone.
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        # Letters with marks after them are parted without the pattern if that does so at every letter and mark.
+        letters = [chr(c) for c in range(ord(_LATIN_END)) if chr(c).isalpha()]
+        found = self.pattern.findall
+        self.plain = all(found(f"{w}{c}a{c}") == [f"{w}{c}a{c}"] for c in letters for w in (" ", ""))
+        self.plain &= all(found(f"{w}a{c}{m}") == [f"{w}a{c}", m] for c in "zé" for w in (" ", "") for m in (*_MARKS, *(x + y for x in _MARKS for y in _MARKS)))
 
     def _reachable(self, token: bytes, rank: int) -> bool:
         """Whether merging the token's bytes ends with the token; keeps the two halves of its last merge."""
@@ -132,24 +142,35 @@ class Encoder:
             else:
                 raise ValueError("a byte of the text is no token")
 
-    def segment(self, text: str) -> tuple[list[int], str, bytes]:
-        """Ids of a segment, their decimal form and their bytes."""
+    def matches(self, text: str) -> list[str]:
+        """The pattern's matches in a segment."""
+        word = text[1:] if text[:1] == " " else text
+        letters = word.rstrip(_MARKS)
+        if self.plain and letters.isalpha() and (letters.isascii() or max(letters) < _LATIN_END):
+            cut = len(text) - len(word) + len(letters)
+            return [text[:cut], text[cut:]] if cut < len(text) else [text]
+        return self.pattern.findall(text)
+
+    def segment(self, text: str) -> tuple[tuple[int, ...], str, bytes]:
+        """Ids of a segment, their decimal form and their bytes. What was used lately is remembered, in two generations."""
         found = self.memo.get(text)
         if found is None:
-            ids = []
-            for p in self.pattern.findall(text):
-                known = self.pieces.get(p)
-                if known is None:
-                    known = self.piece(p.encode())
-                    if len(p) <= 64:
-                        if len(self.pieces) >= MEMO:
-                            self.pieces.clear()
-                        self.pieces[p] = known
-                ids += known
-            found = (ids, ",".join(map(str, ids)), self.decode(ids))
+            found = self.older.get(text)
+            if found is None:
+                ids = []
+                for p in self.matches(text):
+                    known = self.pieces.get(p)
+                    if known is None:
+                        known = tuple(self.piece(p.encode()))
+                        if len(p) <= 64:
+                            if len(self.pieces) >= MEMO:
+                                self.pieces.clear()
+                            self.pieces[p] = known
+                    ids += known
+                found = (tuple(ids), ",".join(map(str, ids)), self.decode(ids))
             if len(text) <= 64:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
+                if len(self.memo) >= MEMO // 2:
+                    self.memo, self.older = {}, self.memo
                 self.memo[text] = found
         return found
 
