@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from . import arrowtext
 
 TIERS = (2048, 1024, 512, 256)
-#: Words and marks that a worker remembers; they are forgotten when there are so many.
-MEMO = 1_500_000
+#: Words and marks that a worker remembers, and bytes of them and their ids; they are forgotten when there are so many.
+MEMO, MEMO_BYTES = 1_500_000, 96 << 20
 # Marks that may follow letters; and the Latin letters whose classes and lower cases all Unicode versions share,
 # without the one that becomes a letter and a mark when lowered.
 _MARKS = string.punctuation
@@ -99,7 +99,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.entries: dict[str, int] = {"": 0}
-        self.flat, self.ends = array("I"), array("q", [0])
+        self.flat, self.ends, self.held = array("I"), array("q", [0]), 0
 
     def learn(self, words: list[str]) -> None:
         """Words that aren't known yet, each once."""
@@ -118,6 +118,7 @@ class WordEncoder:
         self.entries[word] = len(self.ends)
         self.flat.extend(ids)
         self.ends.append(len(self.flat))
+        self.held += len(word) + 4 * len(ids)
 
     def _known(self, words: pa.Array) -> np.ndarray:
         """The entry of each word."""
@@ -129,7 +130,7 @@ class WordEncoder:
     def encode(self, text: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, each text closed by end_id; the number of ids of each text."""
         dictionary, codes, counts = arrowtext.coded(text, lower=False)
-        if len(self.entries) + len(dictionary) > MEMO:
+        if len(self.entries) + len(dictionary) > MEMO or self.held > MEMO_BYTES:
             self.forget()
         cores, marks = parted(dictionary) if self.parts else (dictionary, pa.array([""] * len(dictionary), pa.large_string()))
         entry = np.stack([self._known(cores), self._known(marks)], axis=1)
