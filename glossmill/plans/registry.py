@@ -264,12 +264,12 @@ def sliding_windows(spark, sf_dir):
     return mf.windowed(mf.video_spans(turns, ["SAMPLE_ID"]), 10.0, 5.0, 2.0)
 
 
-@query("""WITH s AS (SELECT l_orderkey::VARCHAR AS VIDEO_ID, sum(l_quantity) AS e FROM lineitem GROUP BY 1), w AS (SELECT VIDEO_ID, i, i * 2.5 AS a, least(i * 2.5 + 30, e) AS b FROM s, range(0, 1000) t(i) WHERE i * 2.5 < e AND e >= 2.5)
+@query("""WITH s AS (SELECT l_orderkey::VARCHAR AS VIDEO_ID, sum(l_quantity) AS e FROM lineitem GROUP BY 1), w AS (SELECT VIDEO_ID, i, i * 10.0 AS a, least(i * 10.0 + 30, e) AS b FROM s, range(0, 1000) t(i) WHERE i * 10.0 < e AND e >= 2.5)
     SELECT VIDEO_ID || '_w' || printf('%03d', i) AS SAMPLE_ID, VIDEO_ID, a::DOUBLE AS START, b::DOUBLE AS "END" FROM w WHERE b - a >= 2.5""")
 def sliding_windows_even(spark, sf_dir):
     """Windows whose starts are products: exact for strides that sums represent exactly."""
     spans = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("VIDEO_ID")).agg(F.sum("l_quantity").alias("SPAN"))
-    return mf.windowed(spans, 30.0, 2.5, 2.5, even=True)
+    return mf.windowed(spans, 30.0, 10.0, 2.5, even=True)
 
 
 @query("SELECT o_custkey, arg_min(o_orderkey, o_orderkey) AS o_orderkey, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY o_custkey")

@@ -138,6 +138,25 @@ def test_shards_and_tar(spark, tmp_path):
         assert tar.getnames()[:2] == ["s20.json", "s20.txt"] and os.path.basename(got[2]["path"]) == "shard-000002.tar"
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 9])
+def test_the_fold_is_the_same_over_any_ranges(spark, ranges):
+    import random
+
+    rng = random.Random(ranges)
+    data = [(rng.choice(["a", "b", None]), i, rng.choice([0, 1, 7, 30, 90, 200, None])) for i in range(700)]
+    df = spark.createDataFrame(data, "src string, k long, size long")
+    for most, most_bytes, group in ((9, 150, "src"), (9, 150, None), (40, 10**6, "src"), (1, 5, None), (500, 300, "src")):
+        got = {r["k"]: r["shard_id"] for r in shards.by_count_and_bytes(df, "k", "size", most, most_bytes, group, ranges=ranges).collect()}
+        want, state = {}, {}
+        for g, k, size in data:
+            shard, n, b = state.get(g if group else 0, (0, 0, 0))
+            if n >= most or (b is not None and b >= most_bytes):
+                shard, n, b = shard + 1, 0, 0
+            state[g if group else 0] = shard, n + 1, None if b is None or size is None else b + size
+            want[k] = shard
+        assert got == want
+
+
 def test_repeated_rows_are_folded_once_each(spark):
     data = [("a", i // 3, 10 + i % 3, f"{i}") for i in range(30)] + [("b", 1, 50, "x")] * 5 + [(None, 1, 5, "y"), (None, None, None, "z"), ("c", 1, None, "u"), ("c", 2, 90, "v")]
     df = spark.createDataFrame(data, "src string, k long, size long, extra string").repartition(4)
