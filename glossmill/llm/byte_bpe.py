@@ -49,6 +49,8 @@ class Encoder:
         self.halves: dict[int, tuple[int, int]] = {}
         self.fits: dict[int, bool] = {}
         self.lengths = [len(t) for t in self.tokens]
+        # the token that two tokens make, for all that make one
+        self.joined = {ranks[t[:n]] << 32 | ranks[t[n:]]: rank for t, rank in ranks.items() for n in range(1, len(t)) if t[:n] in ranks and t[n:] in ranks}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self._reachable(token, rank):
@@ -92,20 +94,21 @@ class Encoder:
     def compatible(self, left: int, right: int) -> bool:
         """Whether the border between two tokens survives all merges; the answer is kept. Undoes the younger merge at the border, step by step:
         at each stage the two pieces that touch must not form a token that would have been merged before that step."""
-        a, b, before, answer = left, right, len(self.tokens), True
+        joined, lengths, halves = self.joined.get, self.lengths, self.halves
+        a, b, before, answer = left, right, len(lengths), True
         while True:
-            joined = self.ranks.get(self.tokens[a] + self.tokens[b])
-            if joined is not None and joined < before:
+            if joined(a << 32 | b, before) < before:
                 answer = False
                 break
             # of equal ranks the left merge comes first, so undo the right token at a tie
-            single_a, single_b = len(self.tokens[a]) == 1, len(self.tokens[b]) == 1
-            if single_a and single_b:
-                break
-            if not single_a and (single_b or a > b):
-                before, a = a, self.halves[a][1]
+            if lengths[b] == 1:
+                if lengths[a] == 1:
+                    break
+                before, a = a, halves[a][1]
+            elif lengths[a] > 1 and a > b:
+                before, a = a, halves[a][1]
             else:
-                before, b = b + 1, self.halves[b][0]
+                before, b = b + 1, halves[b][0]
         if len(self.fits) > 4_000_000:
             self.fits.clear()
         self.fits[left << 32 | right] = answer
