@@ -17,6 +17,20 @@ class OutOfMemory(RuntimeError):
     """A batch was too large for the device."""
 
 
+def out_of_memory(error: BaseException) -> bool:
+    """Whether an error says that a batch was too large, by its kind or, for backends that have none, by its words."""
+    words = str(error).lower()
+    return isinstance(error, OutOfMemory) or "out of memory" in words or "cuda oom" in words
+
+
+def device(name: str) -> tuple[str, int | None]:
+    """A device's kind and number: cuda is cuda:0, other kinds have no number unless one is given."""
+    kind, colon, number = str(name).strip().partition(":")
+    if not kind or (colon and not number.isdigit()):
+        raise ValueError(f"no device {name!r}; examples: cpu, cuda, cuda:1")
+    return kind, int(number) if colon else 0 if kind == "cuda" else None
+
+
 class FrameReader(ABC):
     @abstractmethod
     def read(self, path: str, frames: list[int]) -> list:
@@ -82,6 +96,32 @@ class FakePose(PoseEstimator):
         return [None if self.fails and f[1] % self.fails == 0 else [((f[1] + k) % 7 / 7, k % 5 / 5, 0.1, 1.0) for k in range(self.size)] for f in frames]
 
 
+class Guarded(Detector):
+    """A detector in half precision where its device has that, in full precision from the first failure on that isn't memory."""
+
+    def __init__(self, make: Callable[[bool], Detector], on: str = "cpu"):
+        self.make, self.half = make, device(on)[0] == "cuda"
+        self.inner = make(self.half)
+
+    def detect(self, frames: list) -> list[list[dict]]:
+        if not self.half:
+            return self.inner.detect(frames)
+        try:
+            return self.inner.detect(frames)
+        except Exception as half:
+            if out_of_memory(half) and len(frames) > 1:
+                raise  # a smaller batch may do
+            self.inner.close()
+            self.inner, self.half = self.make(False), False
+            try:
+                return self.inner.detect(frames)
+            except Exception as full:
+                raise RuntimeError(f"in half precision: {half}; in full precision: {full}") from full
+
+    def close(self) -> None:
+        self.inner.close()
+
+
 def halving(run: Callable[[list], list], items: list, batch: int, ceiling: dict | None = None) -> list:
     """Results in batches; a batch that is too large is halved, and what worked is the ceiling from then on. One item that
     is too large alone is an error."""
@@ -92,8 +132,8 @@ def halving(run: Callable[[list], list], items: list, batch: int, ceiling: dict
         try:
             out += run(items[at : at + n])
             at += n
-        except OutOfMemory:
-            if n == 1:
+        except Exception as e:
+            if n == 1 or not out_of_memory(e):
                 raise
             ceiling["most"] = max(1, n // 2)
     return out

@@ -77,3 +77,37 @@ def test_model_files(tmp_path):
         with pytest.raises(FileNotFoundError):
             weights.resolve(model, download=False)
     assert weights.resolve("http://h/v2/models/m", download=False) == "http://h/v2/models/m"
+
+
+def test_devices_and_precision():
+    assert [models.device(d) for d in ("cpu", "cuda", "cuda:1", " mps ")] == [("cpu", None), ("cuda", 0), ("cuda", 1), ("mps", None)]
+    for bad in ("cuda:", "cuda:x", ""):
+        with pytest.raises(ValueError):
+            models.device(bad)
+    made = []
+
+    class Half(models.WholeFrameDetector):
+        def __init__(self, half, breaks="kernel"):
+            made.append(half)
+            self.half, self.breaks = half, breaks
+
+        def detect(self, frames):
+            if self.half and (self.breaks == "kernel" or len(frames) > 2):
+                raise RuntimeError("no kernel" if self.breaks == "kernel" else "CUDA out of memory")
+            return super().detect(frames)
+
+    frames = [("v", i, 8, 8) for i in range(5)]
+    guarded = models.Guarded(Half, "cuda:0")
+    assert len(guarded.detect(frames)) == 5 and made == [True, False] and len(guarded.detect(frames)) == 5 and len(made) == 2
+    tight, ceiling = models.Guarded(lambda half: Half(half, "memory"), "cuda"), {"most": 16}
+    assert len(models.halving(tight.detect, frames, 16, ceiling)) == 5 and ceiling["most"] == 2 and tight.half
+    assert len(models.Guarded(Half, "cpu").detect(frames)) == 5
+
+    class Broken(models.WholeFrameDetector):
+        def detect(self, frames):
+            raise ValueError("broken")
+
+    with pytest.raises(RuntimeError, match="half precision: broken; in full precision: broken"):
+        models.Guarded(lambda half: Broken(), "cuda").detect(frames)
+    with pytest.raises(ValueError, match="broken"):
+        models.halving(Broken().detect, frames, 4)
