@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,7 +120,9 @@ def validate(df: DataFrame) -> DataFrame:
         # the first five in order, by bounded partial lists
         firsts = F.slice(F.sort_array(F.collect_set(F.when(F.col("_r") <= 5, F.col("SAMPLE_ID").cast("string")))), 1, 5)
         top = repeated.orderBy("SAMPLE_ID").limit(5).select("SAMPLE_ID", F.lit(1).alias("_r"))
-        marked = repeated.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids")).crossJoin(top.agg(firsts.alias("examples")))  # one row by one row
+        counted = repeated.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids"), F.lit(None).cast("array<string>").alias("examples"))
+        named = top.agg(F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("ids"), firsts.alias("examples"))
+        marked = counted.unionByName(named).agg(*(F.max(c).alias(c) for c in ("rows", "ids", "examples")))
         found.append(marked.where("ids > 0").select(F.lit("duplicate SAMPLE_ID").alias("issue"), "rows", "ids", "examples"))
     out = found[0] if found else spark.createDataFrame([], schema)
     for more in found[1:]:
@@ -128,15 +132,15 @@ def validate(df: DataFrame) -> DataFrame:
 
 def counts(df: DataFrame) -> DataFrame:
     """Segments, videos, classes, signers and splits of a manifest."""
-    # One narrow aggregation for each column, not one that repeats every row for each of them. Each part is one row.
-    aggs = [F.count(F.lit(1)).alias("segments")]
-    if "SPLIT" in df.columns:
-        aggs.append(F.array_join(F.sort_array(F.collect_set("SPLIT")), ",").alias("splits"))
-    out = df.agg(*aggs)
-    for c, n in (("VIDEO_ID", "videos"), ("CLASS_ID", "classes"), ("SIGNER_ID", "signers")):
+    # One narrow aggregation for each column, not one that repeats every row for each of them; each gives one row.
+    splits = F.array_join(F.sort_array(F.collect_set("SPLIT")), ",") if "SPLIT" in df.columns else F.lit(None).cast("string")
+    parts, names = [df.agg(F.lit("segments").alias("name"), F.count(F.lit(1)).alias("n"), splits.alias("splits"))], ["segments"]
+    for c, name in (("VIDEO_ID", "videos"), ("CLASS_ID", "classes"), ("SIGNER_ID", "signers")):
         if c in df.columns:
-            out = out.crossJoin(df.select(c).distinct().agg(F.count(c).alias(n)))
-    return out.select(*(c for c in ("segments", "videos", "classes", "signers", "splits") if c in out.columns))
+            parts.append(df.select(c).distinct().agg(F.lit(name).alias("name"), F.count(c).alias("n"), F.lit(None).cast("string").alias("splits")))
+            names.append(name)
+    out = reduce(DataFrame.unionByName, parts).agg(*(F.max(F.when(F.col("name") == x, F.col("n"))).alias(x) for x in names), F.max("splits").alias("splits"))
+    return out if "SPLIT" in df.columns else out.drop("splits")
 
 
 def stage_counters(df: DataFrame, status: str) -> DataFrame:
