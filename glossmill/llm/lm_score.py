@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from . import arrowtext, exchange, scratch
 
 #: Bytes of text of a block; tokens that a counting task combines at once.
-BLOCK_BYTES = 4 << 20
-BUCKET_BLOCKS = 4
+BLOCK_BYTES = 3 << 20
+BUCKET_BLOCKS = 8
 #: Tokens of a long text that are traversed as one stretch.
 LANE = 256
 COMBINED = 3_000_000
