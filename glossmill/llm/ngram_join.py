@@ -49,7 +49,7 @@ from . import arrowtext, exchange, scratch
 LIGHT_MOST = 32
 #: Bytes of text of a block; blocks' worth of shingles that a task counts, and bytes of text whose keys make a bucket.
 BLOCK_BYTES = 8 << 20
-BUCKET_BLOCKS = 2
+BUCKET_BLOCKS = 4
 KEY_BYTES = 64 << 20
 #: Shingles of a task that decides links, and of a cluster from which on it is compared in blocks.
 TASK_SHINGLES = 100_000
@@ -451,7 +451,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     the smallest key of the component; first is true for exactly one row of each component, which has that key."""
     run = run or scratch.Run(docs.sparkSession)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    bits = min(60, 32 + max(0, math.ceil(math.log2(max(1, size / (128 << 20))))))  # some 200 values for each shingle
+    # Thousands of values for each shingle: a false companion would send a set, that needs no list, on its way.
+    bits = min(60, 37 + max(0, math.ceil(math.log2(max(1, size / (128 << 20))))))
     bucket_bits = min(30, math.ceil(math.log2(max(8, size / KEY_BYTES))))
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select("uid", F.col(key).alias("key"), F.col(text).alias("text"))

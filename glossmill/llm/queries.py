@@ -84,7 +84,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ngram_join.numbered(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id())  # read once
     return ngram_join.components(docs).select("doc_id", "n_shingles", "component_id")
 
 
