@@ -48,7 +48,7 @@ from . import arrowtext, exchange, scratch
 #: Sizes up to which a boundary is looked for. A set of this size has tens of thousands of subsets and a handful of rare shingles.
 LIGHT_MOST = 32
 #: Bytes of text of a block; blocks' worth of shingles that a task counts, and bytes of text whose keys make a bucket.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_BLOCKS = 4
 KEY_BYTES = 64 << 20
 #: Shingles of a task that decides links, and of a cluster from which on it is compared in blocks.
