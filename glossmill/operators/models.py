@@ -10,8 +10,11 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
+
 
 class OutOfMemory(RuntimeError):
     """A batch was too large for the device."""
@@ -143,39 +146,74 @@ DETECTIONS = "array<array<struct<x1:double,y1:double,x2:double,y2:double,confide
 LANDMARKS = "array<array<struct<x:float,y:float,z:float,v:float>>>"
 
 
+#: Landmarks in a batch of results.
+POINTS = 1 << 17
+
+
+def _offsets(lengths: list[int | None]) -> pa.Array:
+    """Offsets of lists of these lengths, null where there is no list."""
+    from itertools import accumulate
+
+    ends = [0, *accumulate(n or 0 for n in lengths)]
+    return pa.array([*(None if n is None else a for n, a in zip(lengths, ends)), ends[-1]], pa.int32())
+
+
+def _pose_batch(out: list[tuple]) -> pa.RecordBatch:
+    """Results as Arrow. Landmarks become columns of numbers at once, since there are many; NaN is null."""
+    import numpy as np
+
+    samples, found, marks, status, message = zip(*out)
+    box = pa.struct([*((c, pa.float64()) for c in ("x1", "y1", "x2", "y2", "confidence")), ("label", pa.int32())])
+    frames = [f for m in marks if m is not None for f in m]
+    points = [p for f in frames for p in f]
+    if all(len(p) == 4 for p in points):
+        columns = np.array(points, np.float64).reshape(len(points), 4).T.astype(np.float32)
+        structs = pa.StructArray.from_arrays([pa.array(c, from_pandas=True) for c in columns], list("xyzv"))
+    else:
+        structs = pa.array([dict(zip("xyzv", p)) for p in points], pa.struct([(c, pa.float32()) for c in "xyzv"]), from_pandas=True)
+    by_frame = pa.ListArray.from_arrays(_offsets([len(f) for f in frames]), structs)
+    landmarks = pa.ListArray.from_arrays(_offsets([None if m is None else len(m) for m in marks]), by_frame)
+    text = pa.string()
+    return pa.RecordBatch.from_arrays([pa.array(samples, text), pa.array(found, pa.list_(pa.list_(box)), from_pandas=True), landmarks, pa.array(status, text), pa.array(message, text)], ["SAMPLE_ID", "detections", "landmarks", "status", "message"])
+
+
 def run_pose(rows: DataFrame, reader: Callable[[], FrameReader], detector: Callable[[], Detector], pose: Callable[[], PoseEstimator], batch: int = 16) -> DataFrame:
     """(SAMPLE_ID, detections, landmarks, status, message) of rows (SAMPLE_ID, VIDEO_PATH, frames).
 
     A segment with more than one person in a frame is skipped; a frame whose estimation failed is zeros.
     """
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read, detect, estimate, most = reader(), detector(), pose(), {"most": batch}
         try:
-            for pdf in pdfs:
-                out = []
-                for r in pdf.itertuples(index=False):
+            out, points = [], 0
+            for rows in batches:
+                for sample, path, numbers in zip(*(rows.column(i).to_pylist() for i in range(3))):
                     try:
-                        frames = read.read(r.VIDEO_PATH, [int(f) for f in r.frames])
+                        frames = read.read(path, [int(f) for f in numbers])
                         found = halving(detect.detect, frames, batch, most)
                         if any(len(f) > 1 for f in found):
-                            out.append((r.SAMPLE_ID, found, None, "skipped", "several persons"))
-                            continue
-                        marks: list = []
-                        for at in range(0, len(frames), batch):
-                            part = frames[at : at + batch]
-                            marks += estimate.landmarks(part, [f[0] if f else None for f in found[at : at + batch]])
-                        zero = [(0.0, 0.0, 0.0, 0.0)] * estimate.size
-                        full = [[dict(zip("xyzv", p)) for p in (m or zero)] for m in marks]
-                        out.append((r.SAMPLE_ID, found, full, "ok", None))
+                            out.append((sample, found, None, "skipped", "several persons"))
+                        else:
+                            marks: list = []
+                            for at in range(0, len(frames), batch):
+                                part = frames[at : at + batch]
+                                marks += estimate.landmarks(part, [f[0] if f else None for f in found[at : at + batch]])
+                            zero = [(0.0, 0.0, 0.0, 0.0)] * estimate.size
+                            out.append((sample, found, [m or zero for m in marks], "ok", None))
                     except Exception as e:  # a row's failure is its status
-                        out.append((r.SAMPLE_ID, None, None, "error", str(e)))
-                yield pd.DataFrame(out, columns=["SAMPLE_ID", "detections", "landmarks", "status", "message"])
+                        out.append((sample, None, None, "error", str(e)))
+                    points += 1 + sum(map(len, out[-1][2] or ())) + sum(map(len, out[-1][1] or ()))
+                    if points >= POINTS:
+                        yield _pose_batch(out)
+                        out, points = [], 0
+            if out:
+                yield _pose_batch(out)
         finally:
             detect.close()
             estimate.close()
 
-    return rows.select("SAMPLE_ID", "VIDEO_PATH", "frames").mapInPandas(run, f"SAMPLE_ID string, detections {DETECTIONS}, landmarks {LANDMARKS}, status string, message string")
+    return spread(rows.select("SAMPLE_ID", "VIDEO_PATH", "frames"), "SAMPLE_ID").mapInArrow(run, f"SAMPLE_ID string, detections {DETECTIONS}, landmarks {LANDMARKS}, status string, message string")
 
 
 def run_detection(rows: DataFrame, reader: Callable[[], FrameReader], detector: Callable[[], Detector], batch: int = 16) -> DataFrame:
@@ -195,7 +233,7 @@ def run_detection(rows: DataFrame, reader: Callable[[], FrameReader], detector:
         finally:
             detect.close()
 
-    return rows.select("SAMPLE_ID", "VIDEO_PATH", "frames").mapInPandas(run, f"SAMPLE_ID string, detections {DETECTIONS}, status string, message string")
+    return spread(rows.select("SAMPLE_ID", "VIDEO_PATH", "frames"), "SAMPLE_ID").mapInPandas(run, f"SAMPLE_ID string, detections {DETECTIONS}, status string, message string")
 
 
 def run_probe(rows: DataFrame, probe: Callable[[], MediaProbe], path: str = "VIDEO_PATH") -> DataFrame:
@@ -210,7 +248,7 @@ def run_probe(rows: DataFrame, probe: Callable[[], MediaProbe], path: str = "VID
             found = [p.probe(x) for x in pdf[path]]
             yield pdf.assign(fps=[f for f, _ in found], duration=[d for _, d in found])[[*names, "fps", "duration"]]
 
-    return rows.mapInPandas(run, T.StructType([*rows.schema.fields, T.StructField("fps", T.DoubleType()), T.StructField("duration", T.DoubleType())]))
+    return spread(rows, path).mapInPandas(run, T.StructType([*rows.schema.fields, T.StructField("fps", T.DoubleType()), T.StructField("duration", T.DoubleType())]))
 
 
 def run_clips(rows: DataFrame, writer: Callable[[], ClipWriter]) -> DataFrame:
@@ -229,4 +267,4 @@ def run_clips(rows: DataFrame, writer: Callable[[], ClipWriter]) -> DataFrame:
                     out.append((r.SAMPLE_ID, r.TARGET, "error", str(e)))
             yield pd.DataFrame(out, columns=["SAMPLE_ID", "path", "status", "message"])
 
-    return rows.select("SAMPLE_ID", "VIDEO_PATH", "TARGET", "START", "END", "crop").mapInPandas(run, "SAMPLE_ID string, path string, status string, message string")
+    return spread(rows.select("SAMPLE_ID", "VIDEO_PATH", "TARGET", "START", "END", "crop"), "SAMPLE_ID").mapInPandas(run, "SAMPLE_ID string, path string, status string, message string")

@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -53,3 +53,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="glossmill-work-")
     return f"{top.removeprefix('file://').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """df dealt out by keys to as many tasks as shuffles have, three for each core at least. For rows that cost more than
+    their bytes say, such as files to write or segments to see: a small table is often one split, and adaptive execution would
+    make few tasks of few bytes."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *keys)

@@ -6,12 +6,17 @@ import hashlib
 import json
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def write_manifest(df: DataFrame, path: str, quote_all: bool = False) -> None:
     """A manifest as tab-separated files in a folder, with headers; quotes are doubled inside quotes."""
@@ -25,31 +30,78 @@ def write_report(stats: dict, missing: DataFrame, folder: str) -> None:
     missing.select("VIDEO_ID", "REASON").coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(os.path.join(folder, "missing_videos"))
 
 
+@contextmanager
+def _replacing(path: str):
+    """A file under another name that takes its own when it is whole, so that a repeated or parallel attempt never leaves half a file."""
+    handle, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
+    try:
+        with os.fdopen(handle, "w+b") as f:
+            yield f
+        os.replace(temporary, path)
+    except BaseException:
+        os.unlink(temporary)
+        raise
+
+
 def _atomic(path: str, data: bytes) -> None:
-    """Write under another name first, so that a repeated or parallel attempt never leaves half a file."""
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    handle, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
-    with os.fdopen(handle, "wb") as f:
+    with _replacing(path) as f:
         f.write(data)
-    os.replace(temporary, path)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[object, Iterator[pa.RecordBatch]]]:
+    """Runs of rows with one value, of sorted rows; a run is read a batch at a time, before the next is asked for."""
+    parts = ((names[a], b.slice(a, z - a)) for b in batches if b.num_rows for names in [b.column(column).to_pylist()] for cuts in [[0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]] for a, z in zip(cuts, cuts[1:]))
+    ahead = next(parts, None)
+    while ahead is not None:
+        key = ahead[0]
+
+        def run() -> Iterator[pa.RecordBatch]:
+            nonlocal ahead
+            while ahead is not None and ahead[0] == key:  # noqa: B023
+                part, ahead = ahead[1], None
+                yield part
+                ahead = next(parts, None)
+
+        yield key, run()
 
 
 def write_arrays(clips: DataFrame, folder: str) -> DataFrame:
-    """(sample, path, frames): one .npy for each sample of (sample, t, values array<float>); folder must be shared."""
+    """(sample, path, frames): one .npy for each sample of (sample, t, values array<float>); folder must be shared.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import io
+    A sample's frames come sorted and stream into its file. The header, which leaves room for any number of frames, gets
+    theirs at the end.
+    """
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        pdf = pdf.sort_values("t")
-        buffer = io.BytesIO()
-        np.save(buffer, np.array(pdf["values"].tolist(), np.float32))
-        path = f"{folder}/{pdf['sample'].iloc[0]}.npy"
-        _atomic(path, buffer.getvalue())
-        return pd.DataFrame({"sample": [pdf["sample"].iloc[0]], "path": [path], "frames": [len(pdf)]})
+        def head(f, n: int, width: int) -> int:
+            f.seek(0)
+            np.lib.format.write_array_header_1_0(f, {"descr": "<f4", "fortran_order": False, "shape": (n, width)})
+            return f.tell()
 
-    return clips.select("sample", "t", "values").groupBy("sample").applyInPandas(run, "sample string, path string, frames long")
+        os.makedirs(folder, exist_ok=True)
+        for sample, parts in _runs(batches, "sample"):
+            path, n, width, begin = f"{folder}/{sample}.npy", 0, None, 0
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with _replacing(path) as f:
+                for part in parts:
+                    values = part.column("values")
+                    widths = set(values.value_lengths().to_pylist())
+                    if width is None:
+                        width = next(iter(widths)) or 0
+                        begin = head(f, 0, width)
+                    if widths != {width}:
+                        raise ValueError(f"{sample}: frames of {sorted(widths | {width}, key=str)} numbers")
+                    f.write(values.flatten().to_numpy(zero_copy_only=False).astype("<f4").tobytes())
+                    n += len(part)
+                if head(f, n, width) != begin:
+                    raise ValueError(f"{path}: no room for {n} frames")
+            yield pa.RecordBatch.from_arrays([pa.array([None if sample is None else str(sample)], pa.string()), pa.array([path], pa.string()), pa.array([n], pa.int64())], ["sample", "path", "frames"])
+
+    rows = spread(clips.select("sample", "t", "values"), "sample").sortWithinPartitions(F.col("sample"), F.col("t").asc_nulls_last())
+    return rows.mapInArrow(write, "sample string, path string, frames long")
 
 
 def write_blobs(blobs: DataFrame, folder: str) -> DataFrame:
@@ -61,39 +113,42 @@ def write_blobs(blobs: DataFrame, folder: str) -> DataFrame:
                 _atomic(f"{folder}/{r.name}", bytes(r.payload))
             yield pd.DataFrame({"path": [f"{folder}/{n}" for n in pdf["name"]], "bytes": [len(x) for x in pdf["payload"]]})
 
-    return blobs.select("name", F.col("payload").cast("binary").alias("payload")).mapInPandas(run, "path string, bytes long")
+    return spread(blobs.select("name", F.col("payload").cast("binary").alias("payload")), "name").mapInPandas(run, "path string, bytes long")
 
 
 def write_tar_shards(members: DataFrame, folder: str, prefix: str = "shard") -> DataFrame:
     """(shard_id, path, members, bytes): one tar for each shard_id of (shard_id, key, ext, payload, source), members by key and ext.
 
-    A member's bytes are its payload, or the contents of the file ``source``, which go into the tar one after another. A
-    shard's number of rows is bounded by its maker. Members carry time 0: a repeated attempt writes the same bytes.
+    A member's bytes are its payload, or the contents of the file ``source``. Members come sorted and go into the tar one
+    after another. They carry time 0: a repeated attempt writes the same bytes.
     """
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
         import tarfile
 
-        shard, total = int(pdf["shard_id"].iloc[0]), 0
         os.makedirs(folder, exist_ok=True)
-        handle, temporary = tempfile.mkstemp(dir=folder)
-        with os.fdopen(handle, "wb") as out, tarfile.open(fileobj=out, mode="w") as tar:
-            for r in pdf.sort_values(["key", "ext"]).itertuples(index=False):
-                info = tarfile.TarInfo(f"{r.key}.{r.ext}")
-                if r.payload is not None:
-                    info.size = len(r.payload)
-                    tar.addfile(info, io.BytesIO(bytes(r.payload)))
-                else:
-                    info.size = os.path.getsize(r.source)
-                    with open(r.source, "rb") as f:
-                        tar.addfile(info, f)
-                total += info.size
-        path = f"{folder}/{prefix}-{shard:06d}.tar"
-        os.replace(temporary, path)
-        return pd.DataFrame({"shard_id": [shard], "path": [path], "members": [len(pdf)], "bytes": [total]})
-
-    return members.select("shard_id", "key", "ext", "payload", "source").groupBy("shard_id").applyInPandas(one, "shard_id long, path string, members long, bytes long")
+        for shard, parts in _runs(batches, "shard_id"):
+            path, n, total = f"{folder}/{prefix}-{shard:06d}.tar", 0, 0
+            with _replacing(path) as out, tarfile.open(fileobj=out, mode="w") as tar:
+                for part in parts:
+                    for key, ext, payload, source in zip(*(part.column(c) for c in ("key", "ext", "payload", "source"))):
+                        info = tarfile.TarInfo(f"{key.as_py()}.{ext.as_py()}")
+                        if payload.is_valid:
+                            data = payload.as_py()
+                            info.size = len(data)
+                            tar.addfile(info, io.BytesIO(data))
+                        else:
+                            info.size = os.path.getsize(source.as_py())
+                            with open(source.as_py(), "rb") as f:
+                                tar.addfile(info, f)
+                        tar.members = []  # it would keep them all
+                        n, total = n + 1, total + info.size
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([path], pa.string()), pa.array([n], pa.int64()), pa.array([total], pa.int64())], ["shard_id", "path", "members", "bytes"])
+
+    rows = members.select(F.col("shard_id").cast("long").alias("shard_id"), "key", "ext", "payload", "source")
+    rows = spread(rows, "shard_id").sortWithinPartitions("shard_id", F.col("key").asc_nulls_last(), F.col("ext").asc_nulls_last())
+    return rows.mapInArrow(write, "shard_id long, path string, members long, bytes long")
 
 
 def webdataset_members(samples: DataFrame, artifact: str | None = None, source: str = "ARTIFACT") -> DataFrame:

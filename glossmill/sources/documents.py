@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import spread
 
 VIDEO_SUFFIXES = ("mp4", "webm", "mkv", "avi", "mov")
 
@@ -47,13 +51,62 @@ def wlasl(spark: SparkSession, path: str) -> DataFrame:
     return outer.select("i", "j", "gloss", "x.*")
 
 
+def _local(spark: SparkSession, folder: str) -> str | None:
+    """The folder's plain path if it is one of the ordinary files that driver and executors share."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file" or not fs.exists(target) or not fs.getFileStatus(target).isDirectory():
+        return None
+    return fs.makeQualified(target).toUri().getPath().rstrip("/")
+
+
+def _walk(top: str, suffixes: tuple[str, ...], deep: bool) -> Iterator[tuple[str, int]]:
+    """Paths and lengths of files. As Spark's own listing does, it passes over hidden names and files of no length."""
+    import os
+
+    ends, folders = tuple(f".{s}" for s in suffixes), [top]
+    while folders:
+        with os.scandir(folders.pop()) as entries:
+            for e in entries:
+                if e.name.startswith(".") or e.name.endswith("._COPYING_") or (e.name.startswith("_") and "=" not in e.name):
+                    continue
+                try:
+                    if e.is_dir():
+                        if deep:
+                            folders.append(e.path)
+                    elif e.name.endswith(ends) and (size := e.stat().st_size):
+                        yield os.fsencode(e.path).decode(errors="replace"), size
+                except FileNotFoundError:  # a link to nothing, or another task's temporary file
+                    continue
+
+
+def found(spark: SparkSession, folder: str, suffixes: tuple[str, ...], deep: bool = True) -> DataFrame:
+    """(path, length) of files in a folder, and below it if ``deep``.
+
+    A folder of ordinary files is walked by an executor and streams out of it, so that the driver holds no file of it. Of
+    other stores Spark's own listing knows, which the driver holds.
+    """
+    top = _local(spark, folder)
+    if top is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", deep).option("pathGlobFilter", "*.{" + ",".join(suffixes) + "}").load(folder)
+        return files.select(F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), r"^file:/*", "/").alias("path"), "length")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import batched
+
+        for _ in batches:
+            for some in batched(_walk(top, suffixes, deep), 10_000):
+                paths, lengths = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(walk, "path string, length long")
+
+
 def listing(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = VIDEO_SUFFIXES) -> DataFrame:
-    """(rel_path, stem) of files below a folder. Only names are read, no contents. Spark leaves out files of no length."""
-    pattern = "*.{" + ",".join(suffixes) + "}"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path")
-    base = F.lit(folder.rstrip("/").removeprefix("file://").removeprefix("file:") + "/")
-    rel = F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), r"^[a-z]+:/*", "/")
-    return files.select(F.replace(rel, base, F.lit("")).alias("rel_path")).withColumn("stem", tx.stem(F.col("rel_path")))
+    """(rel_path, stem) of files below a folder. Only names are read, no contents. Files of no length are left out."""
+    base = F.lit((_local(spark, folder) or folder.rstrip("/")) + "/")
+    rel = F.regexp_replace("path", r"^[a-z]+:/*", "/")
+    return found(spark, folder, suffixes).select(F.replace(rel, base, F.lit("")).alias("rel_path")).withColumn("stem", tx.stem(F.col("rel_path")))
 
 
 def stems(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = VIDEO_SUFFIXES) -> DataFrame:
@@ -82,31 +135,89 @@ def csl_videos(files: DataFrame) -> DataFrame:
     return rows.where("signer is not null and sentence is not null and variation is not null")
 
 
-def landmark_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """(sample, t, frame array<struct<x, y, z, v>>) of .npy files below a folder, flat or of three dimensions."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
+#: Bytes of a file that one task reads, and numbers in a batch of frames.
+_PIECE, _NUMBERS = 64 << 20, 1 << 18
+
+
+def _frames(path: str, name: str, at: int, a) -> pa.RecordBatch:
+    """A batch (sample, t, frame) of frames from number ``at`` on; NaN is null."""
+    import numpy as np
+
+    from ..functions.landmarks import check_flat
+
+    if a.ndim == 2:
+        a = a.reshape(len(a), check_flat(a.shape[1]), 4)
+    elif a.ndim != 3 or a.shape[2] != 4:
+        raise ValueError(f"{path}: expected (frames, landmarks, 4), found {a.shape}")
+    a = a.astype(np.float32)
+    points = pa.StructArray.from_arrays([pa.array(a[:, :, i].ravel(), from_pandas=True) for i in range(4)], list("xyzv"))
+    frames = pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * a.shape[1], pa.int32()), points)
+    return pa.RecordBatch.from_arrays([pa.array([name] * len(a), pa.string()), pa.array(np.arange(at, at + len(a)), pa.int32()), frames], ["sample", "t", "frame"])
+
+
+def _read_frames(path: str, source, piece: int, pieces: int) -> Iterator[pa.RecordBatch]:
+    """Batches of one of the pieces into which the frames of a .npy are dealt. Of a file only a batch is in memory."""
+    import numpy as np
+
+    name, form = path.rsplit("/", 1)[-1].removesuffix(".npy"), np.lib.format
+    version = form.read_magic(source)
+    shape, by_column, kind = (form.read_array_header_1_0 if version == (1, 0) else form.read_array_header_2_0)(source)
+    width, each = int(np.prod(shape[1:])), -(-shape[0] // pieces) if shape else 0
+    begin, end = piece * each, min((piece + 1) * each, shape[0] if shape else 0)
+    step = max(1, _NUMBERS // max(1, width))
+    whole = None
+    if by_column or kind.hasobject or len(shape) < 2 or version > (2, 0) or not width:  # none of our own
+        source.seek(0)
+        whole = np.load(source, allow_pickle=False)
+        if whole.ndim < 2:
+            _frames(path, name, 0, whole)
+    else:
+        source.seek(begin * width * kind.itemsize, 1)
+    for at in range(begin, end, step):
+        n = min(step, end - at)
+        if whole is None:
+            data = source.read(n * width * kind.itemsize)
+            if len(data) < n * width * kind.itemsize:
+                raise ValueError(f"{path} ends early")
+            a = np.frombuffer(data, kind).reshape(n, *shape[1:])
+        else:
+            a = whole[at : at + n]
+        yield _frames(path, name, at, a)
 
-        import numpy as np
 
-        from ..functions.landmarks import check_flat
-
-        for pdf in pdfs:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                a = np.load(io.BytesIO(content), allow_pickle=False).astype(np.float32)
-                if a.ndim == 2:
-                    a = a.reshape(len(a), check_flat(a.shape[1]), 4)
-                elif a.ndim != 3 or a.shape[2] != 4:
-                    raise ValueError(f"{path}: expected (frames, landmarks, 4), found {a.shape}")
-                name = path.rsplit("/", 1)[-1].removesuffix(".npy")
-                yield pd.DataFrame({"sample": name, "t": range(len(a)), "frame": [[dict(zip("xyzv", map(float, p))) for p in f] for f in a]})
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(folder)
-    return files.select("path", "content").mapInPandas(run, "sample string, t int, frame array<struct<x:float,y:float,z:float,v:float>>")
+def landmark_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """(sample, t, frame array<struct<x, y, z, v>>) of .npy files below a folder, flat or of three dimensions. Large files are
+    read by several tasks, and of each file a batch at a time is in memory; of another store than ordinary files the file is."""
+    import io
+
+    schema = "sample string, t int, frame array<struct<x:float,y:float,z:float,v:float>>"
+    if _local(spark, folder) is None:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for path, content in zip(batch.column("path"), batch.column("content")):
+                    yield from _read_frames(path.as_py(), io.BytesIO(content.as_py()), 0, 1)
+
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(folder)
+        return files.select("path", "content").mapInArrow(run, schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, numbers = [], 0
+            for r in batch.to_pylist():
+                with open(r["path"], "rb") as source:
+                    for frames in _read_frames(r["path"], source, r["piece"], r["pieces"]):
+                        held.append(frames)
+                        numbers += 4 * len(frames.column("frame").flatten())
+                        if numbers >= _NUMBERS:
+                            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                            held, numbers = [], 0
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    n = F.ceil(F.col("length") / _PIECE).cast("int")
+    pieces = found(spark, folder, ("npy",)).select("path", n.alias("pieces"), F.explode(F.sequence(F.lit(0), n - 1)).alias("piece"))
+    return spread(pieces, "path", "piece").mapInArrow(read, schema)
 
 
 def artifacts(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
@@ -115,26 +226,52 @@ def artifacts(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
 
     if not discovery.is_folder(spark, folder):
         return spark.createDataFrame([], "SAMPLE_ID string, path string, bytes long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder).select("path", "length")
-    path = F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), r"^file:/*", "/")
-    return files.select(tx.stem(path).alias("SAMPLE_ID"), path.alias("path"), F.col("length").alias("bytes"))
+    return found(spark, folder, (suffix,), deep=False).select(tx.stem(F.col("path")).alias("SAMPLE_ID"), "path", F.col("length").alias("bytes"))
 
 
 def tar_members(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard, key, ext, payload) of the tar shards below a folder."""
-    from collections.abc import Iterator
+    """(shard, key, ext, payload) of the tar shards below a folder, some members at a time."""
+    import io
 
-    import pandas as pd
+    schema, most = "shard string, key string, ext string, payload binary", 8 << 20
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
+    def members(path: str, source) -> Iterator[tuple]:
         import tarfile
 
-        for pdf in pdfs:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    rows = [(path.rsplit("/", 1)[-1], *m.name.rsplit(".", 1), tar.extractfile(m).read()) for m in tar.getmembers()]
-                yield pd.DataFrame(rows, columns=["shard", "key", "ext", "payload"])
+        with tarfile.open(fileobj=source) as tar:
+            for m in tar:
+                key, ext = m.name.rsplit(".", 1)
+                yield path.rsplit("/", 1)[-1], key, ext, tar.extractfile(m).read()
+                tar.members = []  # it would keep them all
+
+    def grouped(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for r in rows:
+            held.append(r)
+            size += len(r[3]) + 200
+            if size >= most:
+                yield _columns(held)
+                held, size = [], 0
+        if held:
+            yield _columns(held)
+
+    def _columns(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.string(), pa.binary()))], ["shard", "key", "ext", "payload"])
+
+    if _local(spark, folder) is None:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from grouped(r for path, content in zip(batch.column("path"), batch.column("content")) for r in members(path.as_py(), io.BytesIO(content.as_py())))
+
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.tar").load(folder)
+        return files.select("path", "content").mapInArrow(run, schema)
+
+    def opened(path: str) -> Iterator[tuple]:
+        with open(path, "rb") as source:
+            yield from members(path, source)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from grouped(r for batch in batches for path in batch.column("path").to_pylist() for r in opened(path))
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.tar").load(folder)
-    return files.select("path", "content").mapInPandas(run, "shard string, key string, ext string, payload binary")
+    return spread(found(spark, folder, ("tar",)).select("path"), "path").mapInArrow(read, schema)
