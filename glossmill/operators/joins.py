@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes
+from ..session import spread
 
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:
@@ -56,14 +57,33 @@ def boxes_from_json(rows: DataFrame) -> DataFrame:
     return cells.select("SAMPLE_ID", boxes.from_json_cell(F.col("cell")).alias("box")).where("box is not null")
 
 
-def corpus_videos(corpus: DataFrame, videos: DataFrame) -> DataFrame:
+#: Pairs of a sentence and its videos that one task is to make, and copies of a video that travel together.
+_PAIRS, _COPIES = 2_000_000, 256
+
+
+def corpus_videos(corpus: DataFrame, videos: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """Sentences with their videos, all of them. Signer 0 stands for any signer. Sentences without a video stay.
 
-    The sentence is the join's key and the signer its further condition, so that the join stays a hash or merge join.
+    The result has a row for each pair, however many there are, so that only the work beside it can be saved and dealt out. A
+    video is offered under its signer and under any signer, which makes the join one by equality, without pairs that it
+    drops. Equal videos travel once, with their number. Where a sentence and signer have many pairs, their videos are dealt
+    over parts, by their contents, and their sentences go to every part. Columns ``also`` of videos come along.
     """
-    c, v = corpus.alias("c"), videos.alias("v")
-    match = (F.col("c.sentence") == F.col("v.sentence")) & ((F.col("c.signer") == 0) | (F.col("c.signer") == F.col("v.signer")))
-    return c.join(v, match, "left").select("c.*", F.col("v.rel_path").alias("rel_path"), F.col("v.variation").alias("variation"))
+    key, carried = ["_sentence", "_signer"], ["rel_path", "variation", *also]
+    c = corpus.withColumns({"_sentence": F.col("sentence"), "_signer": F.col("signer")})
+    offered = F.array_compact(F.array(F.lit(0), F.nullif(F.col("signer"), F.lit(0))))
+    kinds = videos.groupBy("sentence", "signer", *carried).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / _COPIES).cast("int")
+    v = kinds.select(F.col("sentence").alias("_sentence"), F.explode(offered).alias("_signer"), F.col("signer").alias("_of"), *carried, "_n").withColumn("_i", F.explode(F.sequence(F.lit(0), last)))
+    v = v.withColumn("_n", F.least(F.lit(_COPIES), F.col("_n") - F.col("_i") * _COPIES))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_a").cast("double") * F.col("_b") / _PAIRS)).cast("int").alias("_parts")
+    many = c.groupBy(*key).agg(F.count(F.lit(1)).alias("_a")).join(v.groupBy(*key).agg(F.sum("_n").alias("_b")), key).select(*key, parts)
+    sides = c.join(many, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))), v.join(many, key).withColumn("_part", F.pmod(F.xxhash64("_of", "rel_path", "variation", "_i"), "_parts"))
+    left, right = (spread(df.drop("_parts"), *key, "_part") for df in sides)
+    met = left.join(right.drop("_of", "_i"), [*key, "_part"])
+    met = met.select(*corpus.columns, *carried, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy")).drop("_copy")
+    alone = c.join(many, key, "left_anti").select(*corpus.columns, *(F.lit(None).cast(videos.schema[x].dataType).alias(x) for x in carried))
+    return met.unionByName(alone)
 
 
 def artifacts(manifest: DataFrame, normalised: DataFrame, raw: DataFrame) -> DataFrame:

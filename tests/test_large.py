@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from glossmill.operators import models
+from glossmill.operators import joins, models
 from glossmill.sinks import files
 from glossmill.sources import documents
 
@@ -22,3 +22,18 @@ def test_the_driver_lists_no_files(spark, tmp_path):
     assert sorted(r["rel_path"] for r in made[0].collect()) == ["a b+c%20.mp4", "b/x.mp4"]
     assert sorted((r["SAMPLE_ID"], r["path"]) for r in made[1].collect()) == [(str(i), f"{top}/{i}.npy") for i in (1, 2)]
     assert made[2].count() == 4
+
+
+def test_sentences_meet_only_their_videos(spark, monkeypatch):
+    monkeypatch.setattr(joins, "_PAIRS", 3)
+    monkeypatch.setattr(joins, "_COPIES", 2)
+    corpus = [(0, 1, "any"), (0, 1, "any"), (2, 1, "two"), (3, 1, "none"), (None, 1, "null"), (2, None, "null"), (0, 9, "none")]
+    videos = [(s, 1, f"{s}.mp4", 0) for s in (0, 2, 2, 2, 2, 2, 4, None)] + [(2, None, "x.mp4", 0), (2, 8, "y.mp4", 0), (2, 1, None, None)]
+    c, v = spark.createDataFrame(corpus, "signer int, sentence int, text string"), spark.createDataFrame(videos, "signer int, sentence int, rel_path string, variation int")
+    want = []
+    for signer, sentence, text in corpus:
+        mine = [x for x in videos if sentence is not None and x[1] == sentence and (signer == 0 or signer is not None and signer == x[0])]
+        want += [(signer, sentence, text, *x[2:]) for x in mine or [(None, None, None, None)]]
+    out = joins.corpus_videos(c, v)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert " OR " not in out._jdf.queryExecution().optimizedPlan().toString()
