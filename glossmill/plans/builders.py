@@ -92,15 +92,17 @@ def autsl(splits: dict[str, DataFrame], classes: DataFrame, modality: str = "rgb
 
 
 def csl(corpus: DataFrame, videos: DataFrame, protocol: str = "split_i", split: str = "all", spec: DataFrame | None = None, fps: float = 30.0) -> DataFrame:
-    rows = joins.corpus_videos(corpus, videos)
-    rows = rows.withColumns({"rel_path": F.coalesce("rel_path", F.lit("")), "variation": F.coalesce("variation", F.lit(0))})
-    sample = F.format_string("%03d_%03d_%02d", "signer", "sentence", "variation")
-    rows = rows.withColumn("SAMPLE_ID", sample)
+    # What follows from a sentence or a video alone is made before they meet, as there are many more pairs than either.
+    variation = F.coalesce("variation", F.lit(0))
+    said = corpus.withColumns({"_prefix": F.format_string("%03d_%03d_", "signer", "sentence"), "_signer_id": F.col("signer").cast("string")})
     if spec is None:
-        rows = rows.withColumn("SPLIT", split_by_protocol(F.col("signer"), F.col("sentence"), protocol))
-    else:
+        said = said.withColumn("SPLIT", split_by_protocol(F.col("signer"), F.col("sentence"), protocol))
+    seen = videos.withColumns({"_video": tx.stem(F.col("rel_path")), "_two": F.format_string("%02d", variation), "_variation_id": variation.cast("string")})
+    rows = joins.corpus_videos(said, seen, ("_video", "_two", "_variation_id"))
+    rows = rows.withColumns({"rel_path": F.coalesce("rel_path", F.lit("")), "SAMPLE_ID": F.concat("_prefix", F.coalesce("_two", F.lit("00")))})
+    if spec is not None:
         rows = joins.lookup(rows, spec.select("SAMPLE_ID", "SPLIT"), "SAMPLE_ID", "unknown")
-    out = rows.select("SAMPLE_ID", F.when(F.col("rel_path") == "", F.col("SAMPLE_ID")).otherwise(tx.stem(F.col("rel_path"))).alias("VIDEO_ID"), F.col("rel_path").alias("REL_PATH"), "SPLIT", F.col("text").alias("TEXT"), F.col("signer").cast("string").alias("SIGNER_ID"), F.col("variation").cast("string").alias("VARIATION_ID"), F.lit(fps).alias("FPS"))
+    out = rows.select("SAMPLE_ID", F.when(F.col("rel_path") == "", F.col("SAMPLE_ID")).otherwise(F.col("_video")).alias("VIDEO_ID"), F.col("rel_path").alias("REL_PATH"), "SPLIT", F.col("text").alias("TEXT"), F.col("_signer_id").alias("SIGNER_ID"), F.coalesce("_variation_id", F.lit("0")).alias("VARIATION_ID"), F.lit(fps).alias("FPS"))
     return mf.in_order(only_split(out, split))
 
 
