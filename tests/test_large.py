@@ -37,3 +37,44 @@ def test_sentences_meet_only_their_videos(spark, monkeypatch):
     out = joins.corpus_videos(c, v)
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
     assert " OR " not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clips_stream(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "_NUMBERS", 1000)
+    flat = np.arange(50 * 340, dtype=np.float32).reshape(50, 340)
+    made = spark.createDataFrame([("s", t, flat[t].tolist()) for t in reversed(range(50))], "sample string, t int, values array<float>")
+    df = files.write_arrays(made, str(tmp_path))
+    assert "FlatMapGroups" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["sample"], r["frames"]) for r in df.collect()] == [("s", 50)] and os.listdir(tmp_path) == ["s.npy"]
+    np.testing.assert_array_equal(np.load(tmp_path / "s.npy"), flat)
+    whole, batches = [], 0
+    for piece in range(3):
+        with open(tmp_path / "s.npy", "rb") as f:
+            for b in documents._read_frames("x/s.npy", f, piece, 3):
+                whole, batches = whole + b.column("t").to_pylist(), batches + 1
+    assert whole == list(range(50)) and batches > 10
+    with pytest.raises(Exception, match="frames of"):
+        files.write_arrays(spark.createDataFrame([("s", 0, [1.0]), ("s", 1, [1.0, 2.0])], "sample string, t int, values array<float>"), str(tmp_path)).collect()
+
+
+def test_work_is_spread(spark, tmp_path):
+    blobs = spark.range(200).coalesce(1).selectExpr("cast(id as string) AS name", "'x' AS payload")
+    assert files.write_blobs(blobs, str(tmp_path)).rdd.getNumPartitions() >= 8
+    rows = spark.range(200).coalesce(1).selectExpr("cast(id as string) AS SAMPLE_ID", "'v' AS VIDEO_PATH", "array(1, 2) AS frames")
+    assert models.run_pose(rows, models.FakeReader, models.WholeFrameDetector, models.FakePose).rdd.getNumPartitions() >= 8
+
+
+def test_landmarks_in_arrow():
+    rows = [("a", [[{"x1": 0.0, "y1": 0.0, "x2": 1.0, "y2": 1.0, "confidence": 1.0, "label": 0}]], [[(1.0, 2.0, float("nan"), 0.5)], []], "ok", None), ("b", None, None, "error", "no"), ("c", [], [], "ok", None)]
+    got = models._pose_batch(rows).to_pylist()
+    assert [r["landmarks"] for r in got] == [[[{"x": 1.0, "y": 2.0, "z": None, "v": 0.5}], []], None, []]
+    assert [r["detections"] for r in got] == [r[1] for r in rows]
+
+
+def test_shards_stream(spark, tmp_path):
+    members = [(s, f"k{k}", e, f"{s}{k}{e}".encode(), None) for s in range(3) for k in range(4) for e in ("txt", "json")]
+    df = files.write_tar_shards(spark.createDataFrame(members, "shard_id long, key string, ext string, payload binary, source string"), str(tmp_path))
+    assert "FlatMapGroups" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["shard_id"], r["members"]) for r in df.collect()) == [(0, 8), (1, 8), (2, 8)]
+    back = documents.tar_members(spark, str(tmp_path)).collect()
+    assert sorted((r["shard"], r["key"], r["ext"], bytes(r["payload"])) for r in back) == sorted((f"shard-{s:06d}.tar", k, e, p) for s, k, e, p, _ in members)
