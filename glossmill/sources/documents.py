@@ -84,7 +84,8 @@ def found(spark: SparkSession, folder: str, suffixes: tuple[str, ...], deep: boo
     """(path, length) of files in a folder, and below it if ``deep``.
 
     A folder of ordinary files is walked by an executor and streams out of it, so that the driver holds no file of it. Of
-    other stores Spark's own listing knows, which the driver holds.
+    other stores Spark's own listing knows, which the driver holds. The walk begins at an RDD, whose size Spark doesn't guess:
+    it would take a range of one row for a short listing and broadcast it through the driver, however long it turns out.
     """
     top = _local(spark, folder)
     if top is None:
@@ -99,7 +100,7 @@ def found(spark: SparkSession, folder: str, suffixes: tuple[str, ...], deep: boo
                 paths, lengths = zip(*some)
                 yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
 
-    return spark.range(0, 1, 1, 1).mapInArrow(walk, "path string, length long")
+    return spark.createDataFrame(spark.sparkContext.parallelize([(0,)], 1), "id int").mapInArrow(walk, "path string, length long")
 
 
 def listing(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = VIDEO_SUFFIXES) -> DataFrame:

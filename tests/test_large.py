@@ -78,3 +78,18 @@ def test_shards_stream(spark, tmp_path):
     assert sorted((r["shard_id"], r["members"]) for r in df.collect()) == [(0, 8), (1, 8), (2, 8)]
     back = documents.tar_members(spark, str(tmp_path)).collect()
     assert sorted((r["shard"], r["key"], r["ext"], bytes(r["payload"])) for r in back) == sorted((f"shard-{s:06d}.tar", k, e, p) for s, k, e, p, _ in members)
+
+
+def test_listings_are_not_broadcast_unseen(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"{i:0100d}.npy").write_text("x")
+    rows = spark.range(100).selectExpr("lpad(cast(id as string), 100, '0') AS SAMPLE_ID")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        df = joins.artifacts(rows, *(documents.artifacts(spark, str(tmp_path), "npy") for _ in range(2)))
+        assert all(r["ARTIFACT"] for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
