@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import shutil
+import tarfile
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +33,21 @@ def write_report(stats: dict, missing: DataFrame, folder: str) -> None:
 
 
 @contextmanager
-def _replacing(path: str):
+def _apart(folder: str):
+    """A folder of a task's own below ``folder``, for files that aren't whole yet. Tasks that make their files in one folder wait
+    for each other, so that only the last step, the renaming, is done there. Listings pass over its name."""
+    own = f"{folder}/.tmp{os.urandom(12).hex()}"
+    os.makedirs(own)
+    try:
+        yield own
+    finally:
+        shutil.rmtree(own, ignore_errors=True)
+
+
+@contextmanager
+def _replacing(path: str, own: str | None = None):
     """A file under another name that takes its own when it is whole, so that a repeated or parallel attempt never leaves half a file."""
-    handle, temporary = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
+    handle, temporary = tempfile.mkstemp(dir=own or os.path.dirname(path) or ".")
     try:
         with os.fdopen(handle, "w+b") as f:
             yield f
@@ -43,19 +57,25 @@ def _replacing(path: str):
         raise
 
 
-def _atomic(path: str, data: bytes) -> None:
+def _atomic(path: str, data: bytes, own: str | None = None) -> None:
     """As _replacing, with few calls of the system, as there may be a great many small files."""
     folder = os.path.dirname(path) or "."
-    temporary, flags = f"{folder}/tmp{os.urandom(12).hex()}", os.O_CREAT | os.O_EXCL | os.O_WRONLY
-    try:
-        handle = os.open(temporary, flags, 0o600)
-    except FileNotFoundError:
+    if own is None:
         os.makedirs(folder, exist_ok=True)
-        handle = os.open(temporary, flags, 0o600)
+    temporary = f"{own or folder}/tmp{os.urandom(12).hex()}"
+    handle = os.open(temporary, os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o600)
     try:
-        with os.fdopen(handle, "wb") as f:
-            f.write(data)
-        os.replace(temporary, path)
+        try:
+            rest = memoryview(data)
+            while rest:
+                rest = rest[os.write(handle, rest) :]
+        finally:
+            os.close(handle)
+        try:
+            os.replace(temporary, path)
+        except FileNotFoundError:
+            os.makedirs(folder, exist_ok=True)
+            os.replace(temporary, path)
     except BaseException:
         os.unlink(temporary)
         raise
@@ -85,19 +105,22 @@ def write_arrays(clips: DataFrame, folder: str) -> DataFrame:
     theirs at the end.
     """
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def head(f, n: int, width: int) -> int:
         import numpy as np
 
-        def head(f, n: int, width: int) -> int:
-            f.seek(0)
-            np.lib.format.write_array_header_1_0(f, {"descr": "<f4", "fortran_order": False, "shape": (n, width)})
-            return f.tell()
+        f.seek(0)
+        np.lib.format.write_array_header_1_0(f, {"descr": "<f4", "fortran_order": False, "shape": (n, width)})
+        return f.tell()
 
-        os.makedirs(folder, exist_ok=True)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _apart(folder) as own:
+            yield from each(batches, own)
+
+    def each(batches: Iterator[pa.RecordBatch], own: str) -> Iterator[pa.RecordBatch]:
         for sample, parts in _runs(batches, "sample"):
             path, n, width, begin = f"{folder}/{sample}.npy", 0, None, 0
             os.makedirs(os.path.dirname(path), exist_ok=True)
-            with _replacing(path) as f:
+            with _replacing(path, own) as f:
                 for part in parts:
                     values = part.column("values")
                     widths = set(values.value_lengths().to_pylist())
@@ -119,13 +142,30 @@ def write_arrays(clips: DataFrame, folder: str) -> DataFrame:
 def write_blobs(blobs: DataFrame, folder: str) -> DataFrame:
     """(path, bytes): one file for each row (name, payload) below a shared folder; a repeated attempt writes the same file."""
 
-    def run(pdfs):
-        for pdf in pdfs:
-            for r in pdf.itertuples(index=False):
-                _atomic(f"{folder}/{r.name}", bytes(r.payload))
-            yield pd.DataFrame({"path": [f"{folder}/{n}" for n in pdf["name"]], "bytes": [len(x) for x in pdf["payload"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _apart(folder) as own:
+            for batch in batches:
+                paths, payloads = [f"{folder}/{n}" for n in batch.column("name").to_pylist()], batch.column("payload")
+                for path, payload in zip(paths, payloads):
+                    _atomic(path, payload.as_py(), own)
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pc.binary_length(payloads).cast(pa.int64())], ["path", "bytes"])
+
+    return spread(blobs.select("name", F.col("payload").cast("binary").alias("payload")), "name").mapInArrow(run, "path string, bytes long")
+
 
-    return spread(blobs.select("name", F.col("payload").cast("binary").alias("payload")), "name").mapInPandas(run, "path string, bytes long")
+#: Of a member's header: its length, the largest size that it holds in digits, and the whole of one without a name and contents.
+_BLOCK, _MOST, _PLAIN = 512, 8**11, tarfile.TarInfo("").tobuf()
+_SUM = sum(_PLAIN[:148]) + 8 * 32 + sum(_PLAIN[156:]) - sum(_PLAIN[124:135])
+
+
+def _tar_head(name: str, size: int) -> bytes:
+    """A member's header as tarfile makes it. Plain ones are filled in by hand, as there may be a great many."""
+    if not name.isascii() or len(name) > 100 or size >= _MOST:
+        info = tarfile.TarInfo(name)
+        info.size = size
+        return info.tobuf()
+    raw, digits = name.encode(), b"%011o" % size
+    return raw.ljust(100, b"\0") + _PLAIN[100:124] + digits + _PLAIN[135:148] + b"%06o\0 " % (_SUM + sum(raw) + sum(digits)) + _PLAIN[156:]
 
 
 def write_tar_shards(members: DataFrame, folder: str, prefix: str = "shard") -> DataFrame:
@@ -135,27 +175,32 @@ def write_tar_shards(members: DataFrame, folder: str, prefix: str = "shard") ->
     after another. They carry time 0: a repeated attempt writes the same bytes.
     """
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-        import tarfile
+    def put(out, name: str, payload: bytes | None, source: str | None) -> int:
+        if payload is not None:
+            out.write(_tar_head(name, len(payload)) + payload + bytes(-len(payload) % _BLOCK))
+            return len(payload)
+        with open(source, "rb", buffering=0) as f:
+            size = left = os.fstat(f.fileno()).st_size
+            out.write(_tar_head(name, size))
+            while left:
+                data = f.read(min(left, 1 << 20))
+                if not data:
+                    raise OSError(f"{source} ends early")
+                out.write(data)
+                left -= len(data)
+        out.write(bytes(-size % _BLOCK))
+        return size
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(folder, exist_ok=True)
         for shard, parts in _runs(batches, "shard_id"):
             path, n, total = f"{folder}/{prefix}-{shard:06d}.tar", 0, 0
-            with _replacing(path) as out, tarfile.open(fileobj=out, mode="w") as tar:
+            with _replacing(path) as out:
                 for part in parts:
-                    for key, ext, payload, source in zip(*(part.column(c) for c in ("key", "ext", "payload", "source"))):
-                        info = tarfile.TarInfo(f"{key.as_py()}.{ext.as_py()}")
-                        if payload.is_valid:
-                            data = payload.as_py()
-                            info.size = len(data)
-                            tar.addfile(info, io.BytesIO(data))
-                        else:
-                            info.size = os.path.getsize(source.as_py())
-                            with open(source.as_py(), "rb") as f:
-                                tar.addfile(info, f)
-                        tar.members = []  # it would keep them all
-                        n, total = n + 1, total + info.size
+                    for key, ext, payload, source in zip(*(part.column(c).to_pylist() for c in ("key", "ext")), part.column("payload"), part.column("source").to_pylist()):
+                        n, total = n + 1, total + put(out, f"{key}.{ext}", payload.as_py(), source)
+                out.write(bytes(2 * _BLOCK))
+                out.write(bytes(-out.tell() % tarfile.RECORDSIZE))
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([path], pa.string()), pa.array([n], pa.int64()), pa.array([total], pa.int64())], ["shard_id", "path", "members", "bytes"])
 
     rows = members.select(F.col("shard_id").cast("long").alias("shard_id"), "key", "ext", "payload", "source")

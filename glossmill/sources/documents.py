@@ -230,6 +230,14 @@ def artifacts(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     return found(spark, folder, (suffix,), deep=False).select(tx.stem(F.col("path")).alias("SAMPLE_ID"), "path", F.col("length").alias("bytes"))
 
 
+def _plain(head: bytes) -> int | None:
+    """The size in a tar header of an ordinary file with a short name, or None for any other block and for a wrong sum."""
+    digits, summed = head[124:136].rstrip(b" \0"), head[148:156].rstrip(b" \0")
+    if head[156:157] != b"0" or head[257:263] != b"ustar\0" or any(head[345:500]) or not digits or not summed or (digits + summed).strip(b"01234567"):
+        return None
+    return int(digits, 8) if sum(head) - sum(head[148:156]) + 8 * 32 == int(summed, 8) else None
+
+
 def tar_members(spark: SparkSession, folder: str) -> DataFrame:
     """(shard, key, ext, payload) of the tar shards below a folder, some members at a time."""
     import io
@@ -237,12 +245,24 @@ def tar_members(spark: SparkSession, folder: str) -> DataFrame:
     schema, most = "shard string, key string, ext string, payload binary", 8 << 20
 
     def members(path: str, source) -> Iterator[tuple]:
+        """Plain headers, of which there may be a great many, are read by hand; from the first other one on, tarfile reads."""
         import tarfile
 
+        shard, at, size = path.rsplit("/", 1)[-1], 0, tarfile.BLOCKSIZE
+        while len(head := source.read(size)) == size and (length := _plain(head)) is not None:
+            data = source.read(length + -length % size)
+            if len(data) < length:
+                raise tarfile.ReadError(f"{path}: unexpected end of data")
+            at += size + len(data)
+            key, ext = head[:100].split(b"\0", 1)[0].decode("utf-8", "surrogateescape").rsplit(".", 1)
+            yield shard, key, ext, data[:length]
+        if at and (len(head) < size or not any(head)):  # the end
+            return
+        source.seek(at)
         with tarfile.open(fileobj=source) as tar:
             for m in tar:
                 key, ext = m.name.rsplit(".", 1)
-                yield path.rsplit("/", 1)[-1], key, ext, tar.extractfile(m).read()
+                yield shard, key, ext, tar.extractfile(m).read()
                 tar.members = []  # it would keep them all
 
     def grouped(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

@@ -93,3 +93,38 @@ def test_listings_are_not_broadcast_unseen(spark, tmp_path):
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_tars_as_tarfile_has_them(spark, tmp_path):
+    import io
+    import tarfile
+
+    names = [("a", "txt"), ("k" * 96, "npy"), ("k" * 97, "npy"), ("é", "txt"), ("d/e.f", "json")]
+    (tmp_path / "source").write_bytes(b"y" * 1500)
+    rows = [(0, k, e, None if e == "npy" else bytes(range(256)) * i, str(tmp_path / "source") if e == "npy" else None) for i, (k, e) in enumerate(names)]
+    files.write_tar_shards(spark.createDataFrame(rows, "shard_id long, key string, ext string, payload binary, source string"), str(tmp_path / "t")).collect()
+    want = io.BytesIO()
+    with tarfile.open(fileobj=want, mode="w") as tar:
+        for _, k, e, p, _ in sorted(rows, key=lambda r: r[1].encode()):
+            info = tarfile.TarInfo(f"{k}.{e}")
+            info.size = len(p if p is not None else b"y" * 1500)
+            tar.addfile(info, io.BytesIO(p if p is not None else b"y" * 1500))
+    assert (tmp_path / "t/shard-000000.tar").read_bytes() == want.getvalue()
+    back = {(r["key"], r["ext"]): bytes(r["payload"]) for r in documents.tar_members(spark, str(tmp_path / "t")).collect()}
+    assert back == {(k, e): p if p is not None else b"y" * 1500 for _, k, e, p, _ in rows}
+    (tmp_path / "t/shard-000000.tar").write_bytes(want.getvalue()[:1700])
+    with pytest.raises(Exception, match="unexpected end of data"):
+        documents.tar_members(spark, str(tmp_path / "t")).collect()
+
+
+def test_unfinished_files_lie_apart(spark, tmp_path, monkeypatch):
+    seen, there = [], os.replace
+    monkeypatch.setattr(os, "replace", lambda a, b: (seen.append(os.path.dirname(a)), there(a, b)))
+    with files._apart(str(tmp_path)) as own:
+        for i in range(3):
+            files._atomic(f"{tmp_path}/in a/{i}.mp4", b"x" * i, own)
+        assert sorted(documents._walk(str(tmp_path), ("mp4",), True)) == [(f"{tmp_path}/in a/{i}.mp4", i) for i in (1, 2)]
+    assert set(seen) == {own} and os.listdir(tmp_path) == ["in a"]
+    names = spark.range(50).selectExpr("concat('b/', id, '.npy') AS name", "cast(id as string) AS payload")
+    assert sorted(map(tuple, files.write_blobs(names, str(tmp_path)).collect())) == sorted((f"{tmp_path}/b/{i}.npy", len(str(i))) for i in range(50))
+    assert sorted(os.listdir(tmp_path)) == ["b", "in a"] and (tmp_path / "b/49.npy").read_text() == "49"
