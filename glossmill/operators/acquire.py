@@ -64,7 +64,8 @@ def fetch_all(wanted: DataFrame, there: DataFrame, fetcher: Fetcher, policy: str
             note(row[0], str(e))
             stats["errors"] += 1
             pause = min(most, pause + step) if pause else 0.0
-        sleep(pause)
+        if pause:  # even a sleep of nothing costs a call of the system
+            sleep(pause)
     if policy == "fail_fast" and missing:
         raise RuntimeError(f"{len(missing)} videos couldn't be fetched, such as {missing[0]}")
     return stats, missing

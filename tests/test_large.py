@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from glossmill.operators import joins, models
+from glossmill.operators import acquire, joins, models
 from glossmill.sinks import files
 from glossmill.sources import documents
 
@@ -128,3 +128,16 @@ def test_unfinished_files_lie_apart(spark, tmp_path, monkeypatch):
     names = spark.range(50).selectExpr("concat('b/', id, '.npy') AS name", "cast(id as string) AS payload")
     assert sorted(map(tuple, files.write_blobs(names, str(tmp_path)).collect())) == sorted((f"{tmp_path}/b/{i}.npy", len(str(i))) for i in range(50))
     assert sorted(os.listdir(tmp_path)) == ["b", "in a"] and (tmp_path / "b/49.npy").read_text() == "49"
+
+
+def test_fetching_without_a_pause_never_sleeps(spark):
+    class Fetcher(acquire.Fetcher):
+        def fetch(self, video_id):
+            if video_id == "b":
+                raise RuntimeError("gone")
+
+    ids, none = spark.createDataFrame([("a",), ("b",), ("c",)], "x string"), spark.createDataFrame([], "x string")
+    for pause, want in ((0.0, []), (0.5, [0.5, 0.6, 0.6])):
+        slept: list[float] = []
+        stats, missing = acquire.fetch_all(ids, none, Fetcher(), pause=pause, sleep=slept.append)
+        assert (stats["wanted"], stats["downloaded"], missing, slept) == (3, 2, [("b", "gone")], want)
